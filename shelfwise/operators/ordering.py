@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.session import shared_dir
+from shelfwise.session import materialize
 
 _SLICE, _CARRY, _PART = "__slice", "__carry", "__part"
 
@@ -26,17 +26,16 @@ def running_total(
     """Add the running sum of ``weight`` in the given order, per group.
 
     The order must be total within a group. The range-partitioned rows are
-    checkpointed, because range bounds are sampled anew on every evaluation
+    written out, because range bounds are sampled anew on every evaluation
     and both passes below have to see the same slices.
     """
-    shared_dir(df.sparkSession)
     groups = list(partition_by)
     weight = F.col(weight) if isinstance(weight, str) else weight
-    ranged = (
+    ranged = materialize(
         df.withColumn(_PART, weight)
         .repartitionByRange(*groups, *order_by)
-        .withColumn(_SLICE, F.spark_partition_id())
-        .checkpoint()
+        .withColumn(_SLICE, F.spark_partition_id()),
+        "ranged",
     )
     earlier = Window.partitionBy(*groups).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carry = (

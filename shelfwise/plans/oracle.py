@@ -435,7 +435,7 @@ raw AS (SELECT doc_id, term, tf * (ln((1.0 + (SELECT count(*) FROM documents)) /
     add("similar_pairs", part_space, similar)
     add("similar_documents", document_space, similar)
     sql["top5_similar"] = "WITH " + part_space + _top(5, "SELECT id FROM item")
-    sql["recommend_for_items"] = "WITH " + part_space + _top(5, "SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
+    sql["recommend_for_items"] = "WITH " + part_space + _top(5, "SELECT p_partkey FROM part WHERE p_type = 'PROMO'")
     sql["similarity_coverage"] = "WITH " + document_space + _coverage()
     add("display_names", "", """SELECT p_partkey AS id, CASE WHEN p_type <> 'PROMO' THEN p_name ELSE CAST(p_partkey AS VARCHAR) END
       AS name FROM part""")

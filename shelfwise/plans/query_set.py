@@ -522,9 +522,9 @@ def similarity_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recommend_for_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alternatives for the parts that customers sent back."""
-    returned = A.table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(F.col("l_partkey").alias("id"))
-    return S.top_similar(A.texts(spark, sf_dir), "id", "text", wanted=returned)
+    """Alternatives for the parts on promotion."""
+    promoted = A.table(spark, sf_dir, "part").filter(F.col("p_type") == "PROMO").select(F.col("p_partkey").alias("id"))
+    return S.top_similar(A.texts(spark, sf_dir), "id", "text", wanted=promoted)
 
 
 @query
