@@ -83,29 +83,27 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = BINS) -> DataFrame:
     """Equal-width bins between smallest and largest value; the last bin is closed.
 
-    The ranges come first as one aggregation and enter the binning as scalar
-    subqueries, so the data is scanned twice and only bin counts are shuffled. A
-    constant column gets the unit range around its value.
+    The ranges of all columns are one aggregation that enters the binning as a
+    scalar subquery, so the data is scanned twice and only bin counts are
+    shuffled. A constant column gets the unit range around its value.
     """
     columns = list(columns or numeric_columns(df))
-    ranges = value_ranges(df, columns)
+    ranges = df.agg(F.struct(*[
+        of(F.col(c).cast("double")).alias(f"{name}_{c}") for c in columns for name, of in (("low", F.min), ("high", F.max))
+    ])).scalar()
     entries = []
     for c in columns:
-        own = ranges.filter(F.col("feature") == F.lit(c))
-        low, high = own.select("min_value").scalar(), own.select("max_value").scalar()
+        low, high = ranges[f"low_{c}"], ranges[f"high_{c}"]
         start = F.when(low == high, low - 0.5).otherwise(low)
         end = F.when(low == high, low + 0.5).otherwise(high)
-        value = F.col(c).cast("double")
-        place = F.floor((value - start) / (end - start) * F.lit(bins)).cast("int")
+        place = F.floor((F.col(c).cast("double") - start) / (end - start) * F.lit(bins)).cast("int")
         entries.append(F.struct(
             F.lit(c).alias("feature"), F.least(place, F.lit(bins - 1)).alias("bin"), start.alias("start"), end.alias("end")
         ))
     width = (F.col("end") - F.col("start")) / F.lit(float(bins))
     return (
         df.select(F.inline(F.array(*entries))).filter(F.col("bin").isNotNull())
-        .groupBy("feature", "bin").agg(
-            F.count(F.lit(1)).alias("n"), F.first("start").alias("start"), F.first("end").alias("end"),
-        )
+        .groupBy("feature", "bin", "start", "end").agg(F.count(F.lit(1)).alias("n"))
         .select(
             "feature", "bin", (F.col("start") + F.col("bin") * width).alias("bin_start"),
             (F.col("start") + (F.col("bin") + 1) * width).alias("bin_end"), "n",
@@ -123,14 +121,12 @@ def density_curve(df: DataFrame, column: str, grid: int = GRID, bins: int = BINS
     """
     x = F.col("value")
     counts = value_counts(df, [column])
-    stats = df.select(F.col(column).cast("double").alias("value")).agg(
-        F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"),
-        F.stddev_samp("value").alias("sd"),
-    ).select(
-        F.col("n").cast("double").alias("n"), "low", "high",
-        (F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd")).alias("bandwidth"),
-    )
-    total, low, high, bandwidth = (stats.select(c).scalar() for c in ("n", "low", "high", "bandwidth"))
+    known = F.col(column).cast("double")
+    stats = df.agg(F.struct(
+        F.count(known).cast("double").alias("n"), F.min(known).alias("low"), F.max(known).alias("high"),
+        (F.pow(F.count(known).cast("double"), F.lit(-0.2)) * F.stddev_samp(known)).alias("bandwidth"),
+    )).scalar()
+    total, low, high, bandwidth = (stats[name] for name in ("n", "low", "high", "bandwidth"))
     point = low + (high - low) * F.col("position") / F.lit(float(grid - 1))
     distance = (point - x) / bandwidth
     sums = (

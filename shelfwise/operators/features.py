@@ -30,14 +30,16 @@ def split_roles(features: Sequence[str], numeric: Sequence[str] = NUMERIC_COLUMN
 def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
     """Add each column with mean 0 and population deviation 1; constants become 0.
 
-    Mean and deviation are scalar subqueries over one aggregate each.
+    Means and deviations are one aggregation, entering as a scalar subquery.
     """
+    moments = df.agg(F.struct(*[
+        of(c).alias(f"{name}_{c}") for c in columns for name, of in (("mean", F.avg), ("sd", F.stddev_pop))
+    ])).scalar()
     scaled = []
     for c in columns:
-        mean = df.agg(F.avg(c)).scalar()
-        sd = df.agg(F.stddev_pop(c)).scalar()
+        sd = moments[f"sd_{c}"]
         divisor = F.when(sd == 0, F.lit(1.0)).otherwise(sd)
-        scaled.append(((F.col(c) - mean) / divisor).alias(c + suffix))
+        scaled.append(((F.col(c) - moments[f"mean_{c}"]) / divisor).alias(c + suffix))
     return df.select("*", *scaled)
 
 

@@ -20,14 +20,20 @@ def train_rating_model(
     df: DataFrame, features: Sequence[str], target: str = TARGET, n_estimators: int = 50, max_depth: int = 12,
     max_bins: int = 256, seed: int = 42, scale: bool = True,
 ) -> PipelineModel:
-    """Fit a random forest on encoded features; all features compete at each split."""
+    """Fit a random forest on encoded features; all features compete at each split.
+
+    Training rows are dealt out evenly first: every level of the trees waits for
+    the largest partition.
+    """
     if target not in df.columns:
         raise KeyError(f"Target column '{target}' not found in training data")
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=target, predictionCol=PREDICTION, numTrees=n_estimators,
         maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="all", seed=seed,
     )
-    return Pipeline(stages=[*encoding_stages(features, scale), forest]).fit(df.select(*features, target))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(*features, target).repartition(tasks)
+    return Pipeline(stages=[*encoding_stages(features, scale), forest]).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from shelfwise.operators.model import score, train_rating_model
 from shelfwise.operators.registry import register_models
 from shelfwise.operators.split import hash_split
 from shelfwise.plans.preparation import prepare
+from shelfwise.session import materialize
 from shelfwise.sources.models import save_model
 
 
@@ -53,8 +54,8 @@ def training_job(
         max_bins=max_bins, seed=seed,
     )
     metadata = {"framework": "pyspark.ml", "feature_order": str(features), "target": TARGET}
-    evaluation = evaluation_record(score(model, test), metadata).checkpoint()
-    report = fit_report(score(model, rows)).checkpoint()
+    evaluation = materialize(evaluation_record(score(model, test), metadata), "evaluation")
+    report = materialize(fit_report(score(model, rows)), "fit")
     if model_path:
         save_model(spark, model, model_path, {**metadata, **evaluation.drop("error_message").first().asDict()})
     registered = None
