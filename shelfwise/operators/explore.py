@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators.ordering import running_total
+from shelfwise.session import materialize
 
 BINS = 30
 GRID = 200
@@ -91,9 +92,10 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = B
     ranges = df.agg(F.struct(*[
         of(F.col(c).cast("double")).alias(f"{name}_{c}") for c in columns for name, of in (("low", F.min), ("high", F.max))
     ])).scalar()
+    ranged = df.select(*columns, ranges.alias("__ranges"))
     entries = []
     for c in columns:
-        low, high = ranges[f"low_{c}"], ranges[f"high_{c}"]
+        low, high = F.col(f"__ranges.low_{c}"), F.col(f"__ranges.high_{c}")
         start = F.when(low == high, low - 0.5).otherwise(low)
         end = F.when(low == high, low + 0.5).otherwise(high)
         place = F.floor((F.col(c).cast("double") - start) / (end - start) * F.lit(bins)).cast("int")
@@ -102,7 +104,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = B
         ))
     width = (F.col("end") - F.col("start")) / F.lit(float(bins))
     return (
-        df.select(F.inline(F.array(*entries))).filter(F.col("bin").isNotNull())
+        ranged.select(F.inline(F.array(*entries))).filter(F.col("bin").isNotNull())
         .groupBy("feature", "bin", "start", "end").agg(F.count(F.lit(1)).alias("n"))
         .select(
             "feature", "bin", (F.col("start") + F.col("bin") * width).alias("bin_start"),
@@ -126,12 +128,13 @@ def density_curve(df: DataFrame, column: str, grid: int = GRID, bins: int = BINS
         F.count(known).cast("double").alias("n"), F.min(known).alias("low"), F.max(known).alias("high"),
         (F.pow(F.count(known).cast("double"), F.lit(-0.2)) * F.stddev_samp(known)).alias("bandwidth"),
     )).scalar()
-    total, low, high, bandwidth = (stats[name] for name in ("n", "low", "high", "bandwidth"))
+    total, low, high, bandwidth = (F.col(f"__stats.{name}") for name in ("n", "low", "high", "bandwidth"))
     point = low + (high - low) * F.col("position") / F.lit(float(grid - 1))
     distance = (point - x) / bandwidth
     sums = (
-        counts.select("value", "n", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("position"))
-        .groupBy("position").agg(F.sum(F.col("n") * F.exp(distance * distance * -0.5)).alias("kernel"))
+        counts.select("value", "n", stats.alias("__stats"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("position"))
+        .groupBy("position", "__stats").agg(F.sum(F.col("n") * F.exp(distance * distance * -0.5)).alias("kernel"))
     )
     density = F.col("kernel") / (total * bandwidth * F.sqrt(F.lit(2.0) * F.pi()))
     return sums.select(
@@ -241,8 +244,14 @@ def boxplot_stats(df: DataFrame, target: str, columns: Sequence[str], exact: boo
 
 
 def boxplot_outliers(df: DataFrame, target: str, columns: Sequence[str], key: str = "id", exact: bool = True) -> DataFrame:
-    """The single points beyond the whiskers."""
-    stats = boxplot_stats(df, target, columns, exact).select("feature", "category", "whisker_low", "whisker_high")
+    """The single points beyond the whiskers.
+
+    The whiskers are written out first: with their size known, Spark broadcasts
+    them where they are small, and the points are then not shuffled at all.
+    """
+    stats = materialize(
+        boxplot_stats(df, target, columns, exact).select("feature", "category", "whisker_low", "whisker_high"), "whiskers"
+    )
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in columns])
     points = df.select(F.col(key), F.col(target).alias("value"), F.inline(entries))
     beyond = (F.col("value") < F.col("whisker_low")) | (F.col("value") > F.col("whisker_high"))

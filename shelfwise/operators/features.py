@@ -37,10 +37,10 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled")
     ])).scalar()
     scaled = []
     for c in columns:
-        sd = moments[f"sd_{c}"]
+        sd = F.col(f"__moments.sd_{c}")
         divisor = F.when(sd == 0, F.lit(1.0)).otherwise(sd)
-        scaled.append(((F.col(c) - moments[f"mean_{c}"]) / divisor).alias(c + suffix))
-    return df.select("*", *scaled)
+        scaled.append(((F.col(c) - F.col(f"__moments.mean_{c}")) / divisor).alias(c + suffix))
+    return df.select("*", moments.alias("__moments")).select(*df.columns, *scaled)
 
 
 def encoding_stages(
