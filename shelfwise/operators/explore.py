@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,13 +180,18 @@ def scatter_points(df: DataFrame, target: str, columns: Sequence[str], key: str
     )
 
 
-def top_categories(df: DataFrame, column: str, n: int = 10) -> DataFrame:
-    """The most frequent values, nulls aside; ties by value."""
-    return (
-        df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("category"))
-        .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "category").limit(n)
-        .select(F.lit(column).alias("feature"), "category", "n")
+def top_categories(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
+    """The most frequent values of each column, nulls aside; ties by value.
+
+    All columns are counted in one pass, before the shuffle.
+    """
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in columns])
+    counts = (
+        df.select(F.inline(entries)).filter(F.col("category").isNotNull())
+        .groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
     )
+    most = Window.partitionBy("feature").orderBy(F.desc("n"), "category")
+    return counts.withColumn("rank", F.row_number().over(most)).filter(F.col("rank") <= n)
 
 
 def _category_values(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:

@@ -312,8 +312,10 @@ sums AS (SELECT position, x, sum(exp(-0.5 * ((x - price_numeric) / h) * ((x - pr
     add("correlation_matrix", _EXPLORED, _correlations(numbers))
     add("scatter_points", _EXPLORED, """SELECT id, round(Rating, 6) AS y, 'price_numeric' AS feature,
       round(price_numeric, 6) AS x FROM explored""")
-    add("top10_categories", _EXPLORED, """SELECT 'Country' AS feature, Country AS category, count(*) AS n FROM explored
-      WHERE Country IS NOT NULL GROUP BY Country ORDER BY n DESC, category LIMIT 10""")
+    add("top10_categories", _EXPLORED, "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {c} AS category, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) AS INTEGER)"
+        f" AS rank FROM explored WHERE {c} IS NOT NULL GROUP BY {c}" for c in CATEGORIES
+    ) + ") WHERE rank <= 10")
     add("boxplot_stats", f"{_EXPLORED}, {_box('explored', 'Rating', CATEGORIES)}", _BOX_STATS)
     add("boxplot_outliers", f"{_PREDICTED}, {_box('predicted', 'prediction', CATEGORIES)}",
         "SELECT feature, category, id, round(value, 6) AS value FROM marked WHERE NOT inside")
@@ -419,6 +421,10 @@ candidate AS (SELECT 'model-' || (user_id % 20) AS display_name, ts, 'store/' ||
       WHERE gate_passed""")
     add("promotion_gate_run", _LATEST, _gate("latest", 0.3))
 
+    add("records_written", _FETCHED, f"""SELECT model_uri, gate_passed, quality_score,
+      CASE WHEN failure_reasons = '' THEN 0 ELSE CAST(len(string_split(failure_reasons, '; ')) AS INTEGER) END AS n_reasons
+      FROM ({_gate('fetched', 0.95)})""")
+
     # Similar items
     add("tokens", f"occurrence AS (SELECT doc_id, unnest({_words('text')}) AS term FROM documents)",
         "SELECT term, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM occurrence GROUP BY term")
@@ -446,6 +452,18 @@ raw AS (SELECT doc_id, term, tf * (ln((1.0 + (SELECT count(*) FROM documents)) /
         + _coverage(", n / (SELECT count(*) FROM item) >= 0.5 AS gate_passed")
     )
 
+    # Many items share a text, so lists are made per text from its six lowest ids.
+    sql["recommend_catalog"] = f"WITH {_EXPLORED}, {combined}, " + _space("combined", "id", "text") + """,
+directed AS (SELECT left_id AS text_id, right_id AS other_id, cosine FROM pairs UNION ALL SELECT right_id, left_id, cosine FROM pairs
+  UNION ALL SELECT text_id, text_id, 1.0 FROM textual),
+member AS (SELECT id, text_id FROM item JOIN textual USING (bag)),
+lowest AS (SELECT * FROM member QUALIFY row_number() OVER (PARTITION BY text_id ORDER BY id) <= 6),
+listed AS (SELECT d.text_id, l.id AS similar_id, cosine FROM directed d JOIN lowest l ON l.text_id = d.other_id
+  QUALIFY row_number() OVER (PARTITION BY d.text_id ORDER BY cosine DESC, l.id) <= 6),
+ranked AS (SELECT id, similar_id, cosine, row_number() OVER (PARTITION BY id ORDER BY cosine DESC, similar_id) AS rank
+  FROM member JOIN listed USING (text_id) WHERE id <> similar_id)
+SELECT id, CAST(rank AS INTEGER) AS rank, similar_id, cosine FROM ranked WHERE rank <= 5"""
+
     # Models
     add("one_hot_unseen", _PREPARED + ", seen AS (SELECT DISTINCT Country FROM prepared WHERE Region = 'EUROPE')", """
       SELECT id, (SELECT CAST(count(*) AS INTEGER) FROM seen) AS n_slots,

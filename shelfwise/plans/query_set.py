@@ -27,12 +27,12 @@ from shelfwise.plans import adapters as A
 from shelfwise.plans.batch import batch_scoring_job
 from shelfwise.plans.preparation import prepare
 from shelfwise.plans.promotion import promotion_job
-from shelfwise.plans.recommender import catalog_texts, recommender_quality
+from shelfwise.plans.recommender import catalog_texts, recommend, recommender_quality
 from shelfwise.plans.report import explored
 from shelfwise.plans.training import training_job
 from shelfwise.session import scratch_path
 from shelfwise.sources.catalog import read_batch_input, read_catalog, read_dataset, write_datasets
-from shelfwise.sources.predictions import read_predictions, with_lineage, write_predictions
+from shelfwise.sources.predictions import read_predictions, with_lineage, write_predictions, write_record
 from shelfwise.streaming.scorer import score_requests, start_scoring
 
 CATEGORIES = list(C.CATEGORICAL_COLUMNS)
@@ -234,7 +234,7 @@ def scatter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top10_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.top_categories(explored(A.items(spark, sf_dir)), "Country")
+    return E.top_categories(explored(A.items(spark, sf_dir)), CATEGORIES)
 
 
 @query
@@ -486,6 +486,16 @@ def promotion_gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.withColumn("failure_reasons", F.array_join("failure_reasons", "; "))
 
 
+@query
+def records_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "gate")
+    write_record(R.gate_with_reasons(_fetched(spark, sf_dir)), path)
+    schema = "model_uri string, gate_passed boolean, quality_score double, failure_reasons array<string>"
+    return spark.read.schema(schema).json(path).select(
+        "model_uri", "gate_passed", "quality_score", F.size("failure_reasons").alias("n_reasons")
+    )
+
+
 # Similar items
 
 
@@ -541,6 +551,12 @@ def recommender_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommender_quality(A.items(spark, sf_dir), gate=0.5)
 
 
+@query
+def recommend_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recommender job over the catalog."""
+    return recommend(A.items(spark, sf_dir))
+
+
 # Models
 
 

@@ -27,9 +27,9 @@ def eda_report(catalog: DataFrame, key: str = "id", exact: bool = True) -> dict[
         "histogram": explore.histogram(df, numbers),
         "correlation_matrix": explore.correlation_matrix(df, numbers),
         "scatter_points": explore.scatter_points(df, TARGET, [c for c in numbers if c != TARGET], key),
+        "top_categories": explore.top_categories(df, categories),
         "boxplot_stats": explore.boxplot_stats(df, TARGET, categories, exact),
         "boxplot_outliers": explore.boxplot_outliers(df, TARGET, categories, key, exact),
     }
     tables |= {f"density_{c}": explore.density_curve(df, c) for c in numbers if c != key}
-    tables |= {f"top_{c}": explore.top_categories(df, c) for c in categories}
     return tables
