@@ -22,8 +22,8 @@ def train_rating_model(
 ) -> PipelineModel:
     """Fit a random forest on encoded features; all features compete at each split.
 
-    Training rows are dealt out evenly first: every level of the trees waits for
-    the largest partition.
+    Training rows are dealt out evenly first, in partitions of the advisory
+    size: every level of the trees waits for the largest partition.
     """
     if target not in df.columns:
         raise KeyError(f"Target column '{target}' not found in training data")
@@ -31,8 +31,7 @@ def train_rating_model(
         featuresCol="features", labelCol=target, predictionCol=PREDICTION, numTrees=n_estimators,
         maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="all", seed=seed,
     )
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(*features, target).repartition(tasks)
+    rows = df.select(*features, target).hint("rebalance")
     return Pipeline(stages=[*encoding_stages(features, scale), forest]).fit(rows)
 
 
