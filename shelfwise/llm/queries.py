@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, packing, quality, tokens
-from shelfwise.llm.common import table
+from shelfwise.llm import chat, decontamination, language, packing, quality, tokens
+from shelfwise.llm.common import fold_remainder, table
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(chat.events_of(given.union(probe))))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.apply_policy(quality.rule_ledger(table(spark, sf_dir, "documents")))
     return judged.select(
@@ -36,7 +40,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op5_chat_formatting, op7_quality_rules, op8_best_fit_packing)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = language.learn_and_identify(docs, fold_remainder(docs["doc_id"], 4) != 2)
+    held_out = (fold_remainder(F.col("doc_id"), 4) == 2).alias("held_out")
+    return judged.select("doc_id", held_out, "lang_pred", "score", "cross_entropy", "rejected")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op3_token_counts, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id)
+}
 
 ORACLE_SQL = {
     "op5_chat_formatting": """
