@@ -184,8 +184,9 @@ def learn_model(sample: DataFrame) -> Model | None:
                 ends[(first[:-1, None] + np.arange(ORDER - 1)).ravel()] = False
                 ends = np.flatnonzero(ends)
                 if len(ends):
-                    grams, n = np.unique(np.stack([codes[ends - j] for j in range(ORDER - 1, -1, -1)], 1), axis=0, return_counts=True)
-                    names = ["".join(map(chr, g)) for g in grams.tolist()]
+                    back = [codes[ends - j] for j in range(ORDER)]
+                    _, at, n = np.unique(suffix_hashes(back)[-1], return_index=True, return_counts=True)
+                    names = ["".join(map(chr, g)) for g in np.stack([c[at] for c in back[::-1]], 1).tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names)), pa.array(names, pa.string()), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
     counts = sample.mapInArrow(count, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
