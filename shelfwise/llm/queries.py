@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontamination, language, packing, quality, tokens
+from shelfwise.llm import chat, decontamination, language, neardup, packing, quality, tokens
 from shelfwise.llm.common import fold_remainder, table
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link_copies(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
@@ -49,7 +53,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_token_counts, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id)
+    for f in (op2_near_duplicates, op3_token_counts, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id)
 }
 
 ORACLE_SQL = {
