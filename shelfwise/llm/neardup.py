@@ -19,6 +19,7 @@ MANTISSA_BITS = 18  # kept below the leading zeros, of which there are at most 5
 BAND = 2  # registers of a band
 SIGMAS = 4.5  # margin of the sketch filters: a pair at the threshold is missed about 3 times in a million
 BLOCK = 256  # members of a bucket that are compared at once
+FINE = 1024  # one-byte registers by which members of one bucket are compared
 EMPTY = np.uint32(0xFFFFFFFF)
 
 _REGISTERS = 1 << REGISTER_BITS
@@ -146,8 +147,42 @@ def _likely(n_a: Column, n_b: Column, threshold: float) -> Column:
     return F.least(n_a, n_b) >= F.lit(threshold) * F.greatest(n_a, n_b) - 1e-9
 
 
-def _above(value: np.ndarray, used: np.ndarray, threshold: float) -> np.ndarray:
-    return value >= threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1))
+def _above(value: np.ndarray, used: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether an estimate allows the threshold. Registers in use are drawn from the union without putting back."""
+    union = np.maximum((n_a + n_b) / (1 + threshold), 2.0)
+    left = np.clip((union - used) / (union - 1), 0.0, 1.0)
+    used = np.maximum(used, 1)
+    return value >= threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / used * left) - 2.0 / used
+
+
+def fine_registers(hashes: np.ndarray, owners: np.ndarray, texts: int) -> np.ndarray:
+    """One row of FINE bytes per text: of each bucket's least hash a fingerprint from 1 to 255; 0 for none."""
+    slot = owners.astype(np.int64) * FINE + (hashes % np.uint64(FINE)).astype(np.int64)
+    least = np.full(texts * FINE, np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(least, slot, hashes)
+    prints = (mix(least + STEPS[51]) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+    prints[least == np.iinfo(np.uint64).max] = 0
+    return prints.reshape(texts, FINE)
+
+
+def fine_sketches(texts: DataFrame, size: int) -> DataFrame:
+    """(id, n, fine) of the texts that share a bucket with others."""
+    id_type = texts.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            hashes, first = shingle_sets(part.column("text"), size)
+            made = fine_registers(hashes, np.repeat(np.arange(part.num_rows), np.diff(first)), part.num_rows)
+            rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(FINE), part.num_rows, [None, pa.py_buffer(made.tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("id"), rows], names=["id", "fine"])
+
+    return texts.mapInArrow(run, f"id {id_type}, fine binary")
+
+
+def _fine_estimates(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    used = ((a | b) != 0).sum(1)
+    equal = ((a == b) & (a != 0)).sum(1)
+    return (equal - (used - equal) / 254) / np.maximum(used, 1), used
 
 
 def sketch_filter(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
@@ -158,8 +193,9 @@ def sketch_filter(pairs: DataFrame, sketches: DataFrame, threshold: float) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                value, used = estimates(_as_registers(batch.column("r_a")), _as_registers(batch.column("r_b")), batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy())
-                yield batch.select(["a", "b"]).filter(pa.array(_above(value, used, threshold)))
+                sizes = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+                value, used = estimates(_as_registers(batch.column("r_a")), _as_registers(batch.column("r_b")), *sizes)
+                yield batch.select(["a", "b"]).filter(pa.array(_above(value, used, *sizes, threshold)))
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, f"a {id_type}, b {id_type}")
 
@@ -223,10 +259,10 @@ def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketche
     placed = materialize(placed, "placed")
     mixed = placed.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     mixed = materialize(mixed.select("token", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "mixed")
-    members = placed.join(mixed, "token").join(sketches.select("id", "registers"), "id")
+    members = placed.join(mixed, "token").join(sketches, "id")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     members = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("id", "n", "component", "registers", "token", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    members = members.select("id", "n", "component", "fine", "token", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     meeting = ["token", "low", "high"]
     members = members.repartition(*meeting).sortWithinPartitions(*meeting)
     id_kind = pa.int64() if id_type == "bigint" else pa.int32()
@@ -234,7 +270,8 @@ def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketche
     def compare(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """Likely pairs of two blocks of one bucket (rows with one token, low and high)."""
         ids, n, component, blocks = (part.column(c).to_numpy() for c in ("id", "n", "component", "block"))
-        values = _as_registers(part.column("registers"))
+        values = np.frombuffer(b"".join(part.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+        some = np.ascontiguousarray(values[:, ::8])
         low, high = part.column("low")[0].as_py(), part.column("high")[0].as_py()
         i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(blocks == low), np.flatnonzero(blocks == high), indexing="ij"))
         fit = (component[i] != component[j]) & (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9)
@@ -243,9 +280,10 @@ def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketche
         found = []
         for begin in range(0, len(i), 4096):
             p, q = i[begin : begin + 4096], j[begin : begin + 4096]
-            value, used = estimates(values[p], values[q], n[p], n[q])
-            good = _above(value, used, threshold)
-            found.append((ids[p[good]], ids[q[good]]))
+            for registers_ in (some, values):  # an eighth of the registers rules out most pairs
+                good = _above(*_fine_estimates(registers_[p], registers_[q]), n[p], n[q], threshold)
+                p, q = p[good], q[good]
+            found.append((ids[p], ids[q]))
         a, b = (np.concatenate(x) for x in zip(*found)) if found else (ids[:0], ids[:0])
         return np.minimum(a, b), np.maximum(a, b)
 
@@ -303,7 +341,7 @@ def link_copies(docs: DataFrame, size: int = 4, percent: int = 80, id_col: str =
     texts = materialize(once.select("id", "text"), "texts")
 
     first = materialize(verify(sketch_filter(stars, classes, threshold), texts, size, percent), "links")
-    likely = materialize(cross_pairs(index, centres, components(first), classes, threshold), "likely")
+    likely = materialize(cross_pairs(index, centres, components(first), fine_sketches(texts, size), threshold), "likely")
     second = materialize(verify(likely, texts, size, percent), "links")
     found = components(first.union(second))
 
