@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontamination, language, neardup, packing, quality, tokens
+from shelfwise.llm import chat, decontamination, language, neardup, packing, quality, tokens, toxicity
 from shelfwise.llm.common import fold_remainder, table
 
 
@@ -18,6 +18,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sample = toxicity.training_sample(docs, table(spark, sf_dir, "labels"), fold_remainder(F.col("doc_id"), 3) != 1, toxicity.SAMPLE, "doc_id", "text")
+    scored = toxicity.score_documents(docs, toxicity.learn_model(sample), threshold=0.7)
+    return scored.select("doc_id", (fold_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted", "hits")
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2, numPartitions=1).select(
@@ -53,7 +60,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_near_duplicates, op3_token_counts, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id)
+    for f in (op2_near_duplicates, op3_token_counts, op4_toxicity, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id)
 }
 
 ORACLE_SQL = {
