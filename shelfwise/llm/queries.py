@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontamination, language, neardup, packing, quality, tokens, toxicity
+from shelfwise.llm import chat, decontamination, html, language, neardup, packing, quality, scoring, tokens, toxicity
 from shelfwise.llm.common import fold_remainder, table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").filter("quality = 1")
+    return scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), target)
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link_copies(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -58,9 +63,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out, "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.learn_field(pages))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_near_duplicates, op3_token_counts, op4_toxicity, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id)
+    for f in (op1_lm_scoring, op2_near_duplicates, op3_token_counts, op4_toxicity, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id, op10_html_extraction)
 }
 
 ORACLE_SQL = {
