@@ -77,6 +77,12 @@ class Rule(NamedTuple):
     fails: str
 
 
+#: Measurements, and where `measure` puts them.
+MEASURES = {
+    "n_words": "w.n_words", "word_chars": "w.word_chars", "n_symbols": "n_symbols", "n_lines": "l.n_lines", "n_dup_lines": "l.n_dup_lines",
+    "n_repeat_words": "w.n_repeat_words",
+}
+
 #: The ledger's rules; a rule's bit is its place here. Rules are only ever added at the end.
 RULES = (
     Rule("few_words", "n_words < 10"),
@@ -109,10 +115,13 @@ def rule_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Native: one projection, no shuffle, no Python. Null and empty texts have no words and fail `few_words`. Null ids
     stay null; repeated rows have a row each; other columns are ignored. A text's words are held in memory once.
     """
-    rows = docs.select(docs[id_col].alias(id_col), measure(docs[text_col]).alias("m"))
-    flat = rows.select(
-        id_col, F.col("m.w.n_words"), F.col("m.w.word_chars"), F.col("m.n_symbols"), F.col("m.l.n_lines"), F.col("m.l.n_dup_lines"), F.col("m.w.n_repeat_words")
-    )
+    rows = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("__text"))
+    return _with_ledger(rows, "__text").select(F.col("__id").alias(id_col), *MEASURES, "failed")
+
+
+def _with_ledger(rows: DataFrame, text_col: str) -> DataFrame:
+    """The rows with their measurements and `failed`; their own columns must have other names."""
+    flat = rows.withColumn("__m", measure(F.col(text_col))).select(*rows.columns, *(F.col(f"__m.{place}").alias(name) for name, place in MEASURES.items()))
     failed = F.lit(0).cast("bigint")
     for i, rule in enumerate(RULES):
         failed = failed.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
@@ -141,3 +150,10 @@ def ablations(ledger: DataFrame, policy: str = PRODUCTION) -> DataFrame:
         for name in POLICIES[policy]
     ]
     return counted.select(F.inline(F.array(*rows)))
+
+
+def keep_passing(docs: DataFrame, policy: str = PRODUCTION, text_col: str = "text") -> DataFrame:
+    """The documents that a policy keeps, with their columns, whatever the names of those."""
+    names = [f"__{i}" for i in range(len(docs.columns))]
+    judged = apply_policy(_with_ledger(docs.toDF(*names), names[docs.columns.index(text_col)]), policy)
+    return judged.filter("kept").select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
