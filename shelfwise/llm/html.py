@@ -16,7 +16,7 @@ from shelfwise.llm.common import slices, workers_see_library
 
 TRAINING_PAGES = 500  # expected pages to learn from
 EPOCHS = 6
-MASKED = 3  # every third training page is shown without its article marks, so that text and other tags are learnt too
+VARIANTS = 3  # a third of the training pages is shown as it is, one without article marks, one with its surroundings inside the article
 
 # Fixed values of the HTML standard: elements that hold no content, that begin a block, whose content is not text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -237,6 +237,22 @@ def label_blocks(blocks: list[Block]) -> list[int] | None:
     return labels if any(labels) else None
 
 
+def interleave(blocks: list[Block], labels: list[int]) -> tuple[list[Block], list[int]]:
+    """The page with what surrounds its article dealt in between the article's blocks, inside the article's elements,
+    and once more after the article, there and every other time inside as paragraphs."""
+    inner, outer = ([b for b, y in zip(blocks, labels) if y == k] for k in (1, 0))
+    path = inner[0].tags[: next((i + 1 for i, t in enumerate(inner[0].tags) if t in ARTICLE_TAGS), 0)]
+    around = [b for b in outer if _surrounds(b) and "head" not in b.tags]
+    own = lambda b: tuple(t for t in b.tags if t not in ("html", "body"))
+    moved = [b._replace(tags=(*path, *own(b), *("p",) * (k % 2))) for k, b in enumerate(around)]
+    found: list[tuple[Block, int]] = [(b, 0) for b in outer if "head" in b.tags]
+    for i, b in enumerate(inner):
+        found.append((b, 1))
+        found += [(m, 0) for m in moved[i :: len(inner)]]
+    found += [(b._replace(tags=(*b.tags, "p")), 0) for b in around]
+    return [b for b, _ in found], [y for _, y in found]
+
+
 def learn_field(pages: DataFrame, rows: int = TRAINING_PAGES, id_col: str = "page_id", html_col: str = "html") -> Field:
     """A field trained on about `rows` pages, chosen by a hash of the id, that mark their own article.
 
@@ -255,8 +271,10 @@ def learn_field(pages: DataFrame, rows: int = TRAINING_PAGES, id_col: str = "pag
                 blocks = leaf_blocks(html)
                 own = label_blocks(blocks)
                 if own is not None:
+                    if key % VARIANTS == 1:
+                        blocks, own = interleave(blocks, own)
                     keys.append(key)
-                    rows.append(features(blocks, masked=key % MASKED == 0))
+                    rows.append(features(blocks, masked=key % VARIANTS == 0))
                     labels.append(own)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(rows, pa.list_(pa.list_(pa.string()))), pa.array(labels, pa.list_(pa.int32()))], names=["key", "rows", "labels"]

@@ -251,7 +251,8 @@ def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketche
 
     Pairs with the bucket's centre have been judged. A bucket whose other members are all linked already gives nothing,
     however large. Another is cut into blocks; each two blocks meet in a task that compares registers as arrays and
-    emits only likely pairs, so no pair is a joined row.
+    emits only likely pairs, so no pair is a joined row. Of the buckets that two texts share, the one of the least token
+    emits them.
     """
     id_type = index.schema["id"].dataType.simpleString()
     placed = index.join(centres.select("token", F.col("centre.id").alias("c")), "token").filter("id <> c").select("id", "n", "token")
@@ -259,10 +260,12 @@ def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketche
     placed = materialize(placed, "placed")
     mixed = placed.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     mixed = materialize(mixed.select("token", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "mixed")
-    members = placed.join(mixed, "token").join(sketches, "id")
+    meets = placed.join(mixed, "token")
+    tokens_of = meets.groupBy("id").agg(F.collect_set("token").alias("tokens"))  # at most as many as bands
+    members = meets.join(sketches.join(tokens_of, "id"), "id")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     members = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("id", "n", "component", "fine", "token", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    members = members.select("id", "n", "component", "fine", "tokens", "token", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     meeting = ["token", "low", "high"]
     members = members.repartition(*meeting).sortWithinPartitions(*meeting)
     id_kind = pa.int64() if id_type == "bigint" else pa.int32()
@@ -272,6 +275,7 @@ def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketche
         ids, n, component, blocks = (part.column(c).to_numpy() for c in ("id", "n", "component", "block"))
         values = np.frombuffer(b"".join(part.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
         some = np.ascontiguousarray(values[:, ::8])
+        tokens, token = [set(x) for x in part.column("tokens").to_pylist()], part.column("token")[0].as_py()
         low, high = part.column("low")[0].as_py(), part.column("high")[0].as_py()
         i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(blocks == low), np.flatnonzero(blocks == high), indexing="ij"))
         fit = (component[i] != component[j]) & (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9)
@@ -283,7 +287,8 @@ def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketche
             for registers_ in (some, values):  # an eighth of the registers rules out most pairs
                 good = _above(*_fine_estimates(registers_[p], registers_[q]), n[p], n[q], threshold)
                 p, q = p[good], q[good]
-            found.append((ids[p], ids[q]))
+            here = np.array([min(tokens[x] & tokens[y]) == token for x, y in zip(p.tolist(), q.tolist())], bool)
+            found.append((ids[p[here]], ids[q[here]]))
         a, b = (np.concatenate(x) for x in zip(*found)) if found else (ids[:0], ids[:0])
         return np.minimum(a, b), np.maximum(a, b)
 
@@ -304,7 +309,7 @@ def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketche
                 a, b = (np.concatenate(x) for x in zip(*pairs))
                 yield pa.RecordBatch.from_arrays([pa.array(a, id_kind), pa.array(b, id_kind)], names=["a", "b"])
 
-    return members.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
+    return members.mapInArrow(run, f"a {id_type}, b {id_type}")
 
 
 def link_copies(docs: DataFrame, size: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
