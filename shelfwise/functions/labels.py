@@ -12,17 +12,19 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Label names, the metadata key each is taken from, and limits.
+# Label names, the metadata key each is taken from, the labels that always fit, and their number.
 METRIC_LABELS = {"r2-score": "r2_score", "rmse": "rmse", "mae": "mae", "mse": "mse", "quality-score": "quality_score"}
 STATUS_LABEL = "eval-status"
 STATUS_KEY = "evaluation_status"
 LABEL_LIMIT = 10
-LABEL_LENGTH = 63
+READY = {"ready-for-promotion": "true"}
+ENVIRONMENT = "prd-test"
 
 
-def encode_text_label(column: Column) -> Column:
-    """Lower-case text with every other sign than a-z, 0-9, _ and - as a dash."""
-    return F.substring(F.regexp_replace(F.lower(column), "[^a-z0-9_-]", "-"), 1, LABEL_LENGTH)
+def encode_text_label(column: Column, length: int | None = None) -> Column:
+    """Lower-case text with every other sign than a-z, 0-9, _ and - as a dash; cut only to a caller's length."""
+    text = F.regexp_replace(F.lower(column), "[^a-z0-9_-]", "-")
+    return text if length is None else F.substring(text, 1, length)
 
 
 def encode_metric_label(column: Column) -> Column:
@@ -38,7 +40,7 @@ def decode_metric_label(column: Column) -> Column:
 
 def promotion_labels(metadata: Column, build_number: str = "unknown") -> Column:
     """Label map of an evaluated model from its metadata map; unusable metrics are left out."""
-    fixed = {"ready-for-promotion": "true", "harness-build-id": build_number, "env": "prd-test"}
+    fixed = {**READY, "harness-build-id": build_number, "env": ENVIRONMENT}
     entries = [(F.lit(k), F.lit(v)) for k, v in fixed.items()]
     entries += [(F.lit(label), encode_metric_label(metadata[key])) for label, key in METRIC_LABELS.items()]
     entries.append((F.lit(STATUS_LABEL), encode_text_label(metadata[STATUS_KEY])))
@@ -46,11 +48,19 @@ def promotion_labels(metadata: Column, build_number: str = "unknown") -> Column:
     return F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
 
 
-def cap_labels(labels: Column, build_number: str = "unknown", limit: int = LABEL_LIMIT) -> Column:
-    """Above the limit only the essential labels stay."""
-    essential = {"ready-for-promotion": "true", "build-id": build_number, "environment": "prd-test"}
+def budget_labels(labels: Column, build_number: str = "unknown", limit: int = LABEL_LIMIT) -> Column:
+    """What a store with room for ``limit`` labels takes (``stored``) and what it does not (``overflow``).
+
+    Nothing is lost: above the limit the essential labels are stored and all given ones are the overflow. Tables have
+    no such limit, so the registry keeps all labels and does not call this.
+    """
+    essential = {**READY, "build-id": build_number, "environment": ENVIRONMENT}
     pairs = [F.lit(part) for item in essential.items() for part in item]
-    return F.when(F.size(labels) > limit, F.create_map(*pairs)).otherwise(labels)
+    over = F.size(labels) > limit
+    none = F.create_map().cast("map<string,string>")
+    return F.struct(
+        F.when(over, F.create_map(*pairs)).otherwise(labels).alias("stored"), F.when(over, labels).otherwise(none).alias("overflow")
+    )
 
 
 def literal_map(values: Mapping[str, str | Column]) -> Column:

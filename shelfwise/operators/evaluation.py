@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.cleaning import quality_grade
@@ -24,15 +24,16 @@ def _clamp(column: Column, low: float = 0.0, high: float | None = 1.0) -> Column
 
 
 def regression_metrics(
-    df: DataFrame, target: str = TARGET, prediction: str = PREDICTION, by: Sequence[str] = (),
+    df: DataFrame, target: str = TARGET, prediction: str = PREDICTION, by: Sequence[str] = (), extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """n, mse, rmse, mae and r2_score in one aggregation, overall or per group."""
+    """n, mse, rmse, mae and r2_score, and ``extra`` aggregates by name, in one aggregation, overall or per group."""
     error = F.col(target) - F.col(prediction)
     sums = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
         F.var_pop(target).alias("spread"),
+        *extra,
     )
     r2 = (
         F.when(F.col("n") < 2, F.lit(float("nan")))
@@ -40,7 +41,8 @@ def regression_metrics(
         .when(F.col("mse") == 0, F.lit(1.0))
         .otherwise(F.lit(0.0))
     )
-    return sums.select(*by, "n", "mse", F.sqrt("mse").alias("rmse"), "mae", r2.alias("r2_score"))
+    more = [c for c in sums.columns if c not in {*by, "n", "mse", "mae", "spread"}]
+    return sums.select(*by, "n", "mse", F.sqrt("mse").alias("rmse"), "mae", r2.alias("r2_score"), *more)
 
 
 def quality_score(r2: Column, rmse: Column, max_rating: float = MAX_RATING) -> Column:
@@ -89,7 +91,7 @@ def evaluation_record(
 
 def pass_threshold(evaluated: DataFrame, threshold: float = QUALITY_THRESHOLD) -> DataFrame:
     """Keep evaluated models that reach the threshold."""
-    return evaluated.filter(F.col("quality_score").cast("double") >= F.lit(threshold))
+    return evaluated.filter(F.col("quality_score").try_cast("double") >= F.lit(threshold))
 
 
 def data_contract(df: DataFrame, features: Sequence[str], target: str = TARGET) -> DataFrame:
@@ -138,34 +140,48 @@ def present_predictions(
     )
 
 
-def result_validation(predictions: DataFrame, score_name: str = "quality_score") -> DataFrame:
-    """Per batch run: count, score range and a summary text; no rows give one error row."""
+def result_validation(
+    predictions: DataFrame, score_name: str = "quality_score", expected: DataFrame | None = None,
+) -> DataFrame:
+    """Per batch run: count, score range, summary text and error; no rows at all give one error row.
+
+    ``expected`` (batch_run_id) names the runs there should be: one without rows gets an error row of its own.
+    """
     summary = predictions.groupBy("batch_run_id").agg(
         F.min("training_run_id").alias("training_run_id"),
         F.count(F.lit(1)).alias("n"),
         F.min(score_name).alias("min_score"),
         F.max(score_name).alias("max_score"),
     )
+    if expected is None:
+        some = predictions.groupBy().agg(F.count(F.lit(1)).alias("rows"))
+        summary = some.filter("rows = 0").select("rows").join(summary.limit(0), F.lit(True), "left").drop("rows").unionByName(summary)
+    else:
+        named = expected.select(F.col("batch_run_id").alias("named")).distinct()
+        summary = named.join(summary, F.col("named").eqNullSafe(F.col("batch_run_id")), "full").withColumn("batch_run_id", F.coalesce("batch_run_id", "named")).drop("named")
+    summary = summary.withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
     text = F.concat(
         F.lit("Batch "), F.coalesce("batch_run_id", F.lit("unknown")), F.lit(": "), F.col("n").cast("string"),
         F.lit(" predictions validated"),
     )
-    return summary.withColumn("summary", text)
+    return summary.withColumn("summary", text).withColumn("error", F.when(F.col("n") == 0, F.lit("no predictions to validate")))
 
 
 def scoring_check(
-    scored: DataFrame, expected: int | Column | None = None, order_by: str = "id", prediction: str = PREDICTION,
+    scored: DataFrame, expected: int | Column | None = None, order_by: str | Sequence[str] = "id", prediction: str = PREDICTION,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """One record: instances, predictions made, the first of them, PASSED or FAILED.
 
     Without ``expected`` every instance is expected to have a prediction.
+    Several ``order_by`` columns make the first prediction a definite one.
     """
+    place = F.struct(*([order_by] if isinstance(order_by, str) else order_by), prediction)
     made = F.col(prediction).isNotNull() & ~F.isnan(prediction)
     counts = scored.groupBy(*by).agg(
         F.count(F.lit(1)).alias("test_instances_count"),
         F.count_if(made).alias("predictions_count"),
-        F.min_by(prediction, F.when(made, F.col(order_by))).alias("sample_prediction"),
+        F.min_by(prediction, F.when(made, place)).alias("sample_prediction"),
     )
     wanted = F.col("test_instances_count") if expected is None else (
         F.lit(expected) if isinstance(expected, int) else expected
@@ -179,8 +195,16 @@ def scoring_check(
 
 def fit_report(df: DataFrame, target: str = TARGET, prediction: str = PREDICTION) -> DataFrame:
     """Error, R² and target range of train and test side by side."""
-    ranges = df.groupBy("split").agg(F.min(target).alias("target_min"), F.max(target).alias("target_max"))
-    return (
-        regression_metrics(df, target, prediction, by=["split"])
-        .select("split", "n", "rmse", "r2_score").join(ranges, "split")
+    ranges = [F.min(target).alias("target_min"), F.max(target).alias("target_max")]
+    metrics = regression_metrics(df, target, prediction, by=["split"], extra=ranges)
+    return metrics.select("split", "n", "rmse", "r2_score", "target_min", "target_max")
+
+
+def failed_evaluation(error: str, spark: SparkSession, metadata: Mapping[str, str] | None = None) -> DataFrame:
+    """A ``failed`` evaluation record of the same columns as ``evaluation_record``."""
+    none = F.lit(None).cast("string")
+    return spark.range(1).select(
+        *[F.lit(v).alias(k) for k, v in (metadata or {}).items()],
+        *[none.alias(c) for c in ("quality_score", "r2_score", "rmse", "mae", "mse", "rmse_normalized")],
+        F.lit("failed").alias("evaluation_status"), F.lit("0").alias("test_samples"), F.lit(error).alias("error_message"),
     )

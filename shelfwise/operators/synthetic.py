@@ -38,7 +38,7 @@ def generate_catalog(keys: DataFrame, key: str = "id", seed: int = 42) -> DataFr
     def rating(price: Column) -> Column:
         raw = (
             F.lit(BASE_POINTS) + F.least(F.lit(PRICE_POINTS), F.ln(price) * PRICE_FACTOR)
-            + bonus(F.col("country"), COUNTRY_POINTS, 0) + bonus(F.col("wine_type"), KIND_POINTS, 0)
+            + bonus(F.col("country"), COUNTRY_POINTS, 0) + bonus(F.col("kind"), KIND_POINTS, 0)
             + bonus(F.col("style"), STYLE_POINTS, 0) + hash_normal(k, draw("noise"), NOISE_POINTS)
         )
         return F.greatest(F.lit(LOW_POINTS), F.least(F.lit(HIGH_POINTS), raw))
@@ -47,12 +47,12 @@ def generate_catalog(keys: DataFrame, key: str = "id", seed: int = 42) -> DataFr
         keys.select(
             k, F.exp(F.lit(LOG_PRICE_MEAN) + hash_normal(k, draw("price"), LOG_PRICE_SD)).alias("drawn"),
             hash_choice(k, draw("country"), COUNTRIES).alias("country"),
-            hash_choice(k, draw("wine_type"), KINDS).alias("wine_type"),
+            hash_choice(k, draw("kind"), KINDS).alias("kind"),
             hash_choice(k, draw("grape"), GRAPES).alias("grape"),
             hash_choice(k, draw("style"), STYLES).alias("style"),
         )
         .select(
-            key, F.round("drawn", 2).alias("price"), "country", "wine_type", "grape", "style",
+            key, F.round("drawn", 2).alias("price"), "country", "kind", "grape", "style",
             F.round(rating(F.col("drawn")), 1).alias("rating"),
         )
     )

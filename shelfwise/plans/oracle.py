@@ -2,10 +2,36 @@
 
 from __future__ import annotations
 
-from shelfwise.functions.cleaning import NA_TOKENS
-from shelfwise.functions.text import ENGLISH_STOP_WORDS, WORD_PATTERN
-from shelfwise.plans.adapters import NATION_BONUS, STATUS_BONUS
-from shelfwise.operators import synthetic as G
+# Fixed values, written out here again so that a wrong one in the library shows.
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
+ENGLISH_STOP_WORDS = tuple(
+    """
+    about above after again against all almost along already also although always am among an and any are as at
+    be because been before being below between both but by can cannot could did do does doing done down during
+    each either else enough etc ever every few for from further get give go had has have having he hence her here
+    hers herself him himself his how however if in indeed into is it its itself keep last least less made many may
+    me might more most much must my myself neither never no nor not now of off often on once one only or other our
+    ours ourselves out over own per perhaps please rather same she should since so some still such than that the
+    their theirs them themselves then there these they this those through to too under until up upon us very was
+    we well were what when where which while who whom whose why will with within without would yet you your yours
+    """.split()
+)
+NATION_BONUS = {"NATION_0": 0.5, "NATION_1": 0.3, "NATION_2": 0.2, "NATION_3": 0.3, "NATION_4": 0.2, "NATION_5": 0.1}
+STATUS_BONUS = {"F": 0.2, "O": 0.1, "P": 0.3}
+COUNTRIES = ("France", "Italy", "Spain", "USA", "Australia", "Chile", "Argentina")
+KINDS = ("Red", "White", "Rosé")
+GRAPES = (
+    "Cabernet Sauvignon", "Merlot", "Pinot Noir", "Chardonnay", "Sauvignon Blanc",
+    "Riesling", "Tempranillo", "Sangiovese", "Syrah", "Grenache",
+)
+STYLES = ("Rich", "Light", "Crisp", "Smooth", "Bold", "Elegant", "Fresh", "Complex")
+COUNTRY_POINTS = {"France": 3, "Italy": 2, "Spain": 1, "USA": 2, "Australia": 1, "Chile": 0, "Argentina": 0}
+KIND_POINTS = {"Red": 1, "White": 0, "Rosé": -1}
+STYLE_POINTS = {"Complex": 3, "Elegant": 2, "Rich": 1, "Bold": 1, "Smooth": 0, "Fresh": 0, "Crisp": -1, "Light": -1}
 
 CATEGORIES = ("Country", "Region", "Type", "Style", "Grape")
 
@@ -144,7 +170,7 @@ _TARGET = """target AS (
 known AS (SELECT display_name, max(version) AS last_version, max(resource_name) AS parent FROM target GROUP BY 1)"""
 
 _SCORE_TEXT = "CAST(CAST(value / 100 AS DECIMAL(18,6)) AS VARCHAR)"
-_STATUS_TEXT = "substr(regexp_replace(lower('Status: ' || event_type || '!'), '[^a-z0-9_-]', '-', 'g'), 1, 63)"
+_STATUS_TEXT = "regexp_replace(lower('Status: ' || event_type || '!'), '[^a-z0-9_-]', '-', 'g')"
 _LABELS = f"""'true' AS ready_for_promotion, 'build-7' AS harness_build_id, 'prd-test' AS env,
     {_encode('CAST(' + _SCORE_TEXT + ' AS DOUBLE)')} AS r2_score, CAST(NULL AS VARCHAR) AS rmse, CAST(NULL AS VARCHAR) AS mae,
     {_encode('CAST(' + _SCORE_TEXT + ' AS DOUBLE)')} AS quality_score, {_STATUS_TEXT} AS eval_status"""
@@ -249,9 +275,9 @@ def oracle_sql() -> dict[str, str]:
         sql[name] = f"WITH {ctes}\n{body}" if ctes else body
 
     # Sources and sinks
-    add("csv_catalog", _EXPLORED, "SELECT id, Country, Region, Price FROM explored")
-    add("jsonl_batch_input", _ITEMS, "SELECT id, Country, Type, Price FROM items")
-    add("datasets_written", _PREPARED, f"SELECT id, price_numeric, Rating FROM prepared WHERE {_split()} = 'test'")
+    add("csv_catalog", _EXPLORED, "SELECT id, Style, Grape, Type, Country, Region, Price FROM explored")
+    add("jsonl_batch_input", _ITEMS, "SELECT id, Style, Grape, Type, Country, Region, Price FROM items")
+    add("datasets_written", _PREPARED, f"SELECT id, price_numeric, Rating, {_split()} AS split FROM prepared")
     add("predictions_written", _PREDICTED, f"""SELECT id, 'batch_1' AS batch_run_id, 'train_1' AS training_run_id,
       round(prediction, 2) AS quality_score, {_GRADE.format('prediction')} AS quality_grade, Country AS input_Country,
       Type AS input_Type, 'store/model' AS model_path FROM predicted""")
@@ -276,14 +302,14 @@ def oracle_sql() -> dict[str, str]:
     add("combined_text", _EXPLORED, """SELECT id, CAST(id AS VARCHAR) AS name,
       trim(Grape || ' ' || Style || ' ' || Type || ' ' || coalesce(Country, '') || ' ' || Region) AS combined_features
       FROM explored""")
-    drawn = f"exp({G.LOG_PRICE_MEAN} + {_normal('o_orderkey', '42-price', str(G.LOG_PRICE_SD))})"
+    drawn = f"exp(2.5 + {_normal('o_orderkey', '42-price', '0.8')})"
     add("generated_catalog", f"""drawn AS (
-      SELECT o_orderkey AS id, {drawn} AS p, {_choice('o_orderkey', '42-country', G.COUNTRIES)} AS country,
-        {_choice('o_orderkey', '42-wine_type', G.KINDS)} AS wine_type, {_choice('o_orderkey', '42-grape', G.GRAPES)} AS grape,
-        {_choice('o_orderkey', '42-style', G.STYLES)} AS style, {_normal('o_orderkey', '42-noise', '2.0')} AS noise
-      FROM orders)""", f"""SELECT id, round(p, 2) AS price, country, wine_type, grape, style,
-      round(greatest(80.0, least(100.0, 85.0 + least(15.0, 2.0 * ln(p)) + {_lookup('country', G.COUNTRY_POINTS, 0)}
-        + {_lookup('wine_type', G.KIND_POINTS, 0)} + {_lookup('style', G.STYLE_POINTS, 0)} + noise)), 1) AS rating FROM drawn""")
+      SELECT o_orderkey AS id, {drawn} AS p, {_choice('o_orderkey', '42-country', COUNTRIES)} AS country,
+        {_choice('o_orderkey', '42-kind', KINDS)} AS kind, {_choice('o_orderkey', '42-grape', GRAPES)} AS grape,
+        {_choice('o_orderkey', '42-style', STYLES)} AS style, {_normal('o_orderkey', '42-noise', '2.0')} AS noise
+      FROM orders)""", f"""SELECT id, round(p, 2) AS price, country, kind, grape, style,
+      round(greatest(80.0, least(100.0, 85.0 + least(15.0, 2.0 * ln(p)) + {_lookup('country', COUNTRY_POINTS, 0)}
+        + {_lookup('kind', KIND_POINTS, 0)} + {_lookup('style', STYLE_POINTS, 0)} + noise)), 1) AS rating FROM drawn""")
 
     # Exploration
     add("rating_by_segment", f"{_PREPARED}, {_box('prepared', 'Rating', ['Grape'])}", _BOX_STATS)
@@ -365,7 +391,18 @@ sums AS (SELECT position, x, sum(exp(-0.5 * ((x - price_numeric) / h) * ((x - pr
     add("input_index", _ITEMS, "SELECT id, Price, row_number() OVER (ORDER BY id) - 1 AS input_index FROM items")
     add("result_validation", _PREDICTED, """SELECT 'batch_' || Region AS batch_run_id, 'train_1' AS training_run_id,
       count(*) AS n, min(round(prediction, 2)) AS min_score, max(round(prediction, 2)) AS max_score,
-      'Batch batch_' || Region || ': ' || count(*) || ' predictions validated' AS summary FROM predicted GROUP BY Region""")
+      'Batch batch_' || Region || ': ' || count(*) || ' predictions validated' AS summary, CAST(NULL AS VARCHAR) AS error
+      FROM predicted GROUP BY Region""")
+    add("result_validation_expected", _PREDICTED + """,
+counted AS (SELECT Region, count(*) AS n, min(round(prediction, 2)) AS lo, max(round(prediction, 2)) AS hi FROM predicted
+  WHERE Region <> 'ASIA' GROUP BY Region)""", """SELECT 'batch_' || r_name AS batch_run_id,
+      CASE WHEN n > 0 THEN 'train_1' END AS training_run_id, coalesce(n, 0) AS n, lo AS min_score, hi AS max_score,
+      'Batch batch_' || r_name || ': ' || coalesce(n, 0) || ' predictions validated' AS summary,
+      CASE WHEN n IS NULL THEN 'no predictions to validate' END AS error FROM region LEFT JOIN counted ON Region = r_name""")
+    add("result_validation_empty", "", """SELECT CAST(NULL AS VARCHAR) AS batch_run_id, CAST(NULL AS VARCHAR) AS training_run_id,
+      CAST(0 AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS min_score, CAST(NULL AS DOUBLE) AS max_score,
+      'Batch unknown: 0 predictions validated' AS summary, 'no predictions to validate' AS error
+      FROM (SELECT count(*) FROM orders)""")
     add("scoring_check", _PREDICTED + """,
 made AS (SELECT *, CASE WHEN Country <> 'NATION_9' THEN prediction END AS p FROM predicted)""", """
       SELECT Country, count(*) AS test_instances_count, count(p) AS predictions_count,
@@ -386,8 +423,10 @@ made AS (SELECT *, CASE WHEN Country <> 'NATION_9' THEN prediction END AS p FROM
       'source' AS promoted_from, CASE WHEN ready IS NULL THEN 6 ELSE 7 END AS n_labels,
       CASE WHEN ready IS NULL THEN 6 ELSE 7 END AS n_forced FROM registry""")
     add("labels_capped", "", """SELECT event_id, CAST(CASE WHEN user_id % 15 + 1 > 10 THEN 3 ELSE user_id % 15 + 1 END AS INTEGER)
-      AS n_labels, CASE WHEN user_id % 15 + 1 > 10 THEN 'prd-test' END AS environment FROM events""")
-    add("versions_newest_first", _REGISTRY, "SELECT display_name, resource_name, version FROM registry")
+      AS n_labels, CASE WHEN user_id % 15 + 1 > 10 THEN 'prd-test' END AS environment,
+      CAST(CASE WHEN user_id % 15 + 1 > 10 THEN user_id % 15 + 1 ELSE 0 END AS INTEGER) AS n_overflow FROM events""")
+    add("versions_newest_first", _REGISTRY, """SELECT display_name, resource_name, version,
+      row_number() OVER (ORDER BY display_name, create_time DESC, resource_name DESC) AS place FROM registry""")
     add("latest_promotable", _LATEST, "SELECT * FROM latest")
     add("fetch_failures", _LATEST + """,
 wanted AS (SELECT DISTINCT 'model-' || c_custkey AS display_name FROM customer),
@@ -403,6 +442,19 @@ counts AS (SELECT display_name, count(*) AS versions FROM registry GROUP BY 1)""
     add("gate", _FETCHED, """SELECT model_uri, eval_status = 'completed' AND quality_score >= 0.99
       AND coalesce(lower(ready_for_promotion) = 'true', false) AS gate_passed FROM fetched""")
     add("gate_reasons", _FETCHED, _gate("fetched", 0.95))
+    unreadable = _FETCHED + f""",
+texted AS (SELECT resource_name AS model_uri, CASE WHEN version % 3 = 0 THEN 'n/a' END AS shown FROM registry),
+readable AS (SELECT f.* REPLACE (CASE WHEN shown IS NULL THEN quality_score ELSE 0.0 END AS quality_score), shown
+  FROM fetched f JOIN texted USING (model_uri)),
+judged AS (SELECT g.*, shown FROM ({_gate('readable', 0.95)}) g JOIN texted USING (model_uri))"""
+    add("gate_unreadable", unreadable, """SELECT * EXCLUDE (shown) REPLACE (CASE WHEN shown IS NULL THEN failure_reasons
+      WHEN eval_status <> 'completed' THEN replace(failure_reasons, '; quality_score ', '; quality_score n/a is not a number; quality_score ')
+      ELSE 'quality_score n/a is not a number; ' || failure_reasons END AS failure_reasons) FROM judged""")
+    add("failed_registrations", "", """SELECT CASE WHEN event_id % 5 > 0 THEN 'model-' || (user_id % 20) ELSE '' END AS display_name,
+      CASE WHEN event_id % 7 > 0 THEN 'store/' || event_id ELSE '' END AS uri, '' AS resource_name, '' AS model_version,
+      false AS is_new_model, 'failed' AS registration_status, 'build-7' AS harness_build_id,
+      CASE WHEN event_id % 5 = 0 THEN 'candidate has no display name' ELSE 'candidate has no uri' END AS error_message
+      FROM events WHERE event_id % 5 = 0 OR event_id % 7 = 0""")
     add("registered_versions", _TARGET + """,
 candidate AS (SELECT 'model-' || (user_id % 20) AS display_name, ts, 'store/' || event_id AS uri, event_type, value FROM events)""",
         f"""SELECT coalesce(parent, 'models/' || display_name) AS resource_name, display_name,
@@ -411,13 +463,20 @@ candidate AS (SELECT 'model-' || (user_id % 20) AS display_name, ts, 'store/' ||
       FROM candidate LEFT JOIN known USING (display_name)""")
     add("default_versions", _REGISTRY, """SELECT display_name, resource_name, version FROM registry
       QUALIFY row_number() OVER (PARTITION BY display_name ORDER BY version DESC) = 1""")
-    add("promotion_run", f"{_LATEST}, {_TARGET}, checked AS ({_gate('latest', 0.3)})", """
+    by_user = _LATEST.replace("'model-' || (user_id % 20) AS display_name", "'model-' || user_id AS display_name")
+    add("promotion_run", f"{by_user}, {_TARGET}, checked AS ({_gate('latest', 0.3)})", """
       SELECT c.model_uri AS source_model_uri, coalesce(parent, 'models/' || c.display_name) AS target_model_uri,
         c.display_name, 'source' AS source_project, 'target' AS target_project, '2025-08-07' AS promotion_date,
-        CAST(coalesce(last_version, 0) + 1 AS VARCHAR) AS model_version, last_version IS NULL AS is_new_model,
-        'completed' AS promotion_status, 'build-7' AS harness_build_id, c.quality_score, c.eval_status,
-        'image:1' AS container_image, uri, 'prd-workload' AS env, 'source' AS promoted_from, build AS label_build, 8 AS n_labels
-      FROM checked c JOIN registry r ON r.resource_name = c.model_uri LEFT JOIN known k ON k.display_name = c.display_name
+        '2025-08-07T10:00:00Z' AS promotion_timestamp,
+        CASE WHEN uri IS NULL THEN '' ELSE CAST(coalesce(last_version, 0) + 1 AS VARCHAR) END AS model_version,
+        last_version IS NULL AS is_new_model, CASE WHEN uri IS NULL THEN 'failed' ELSE 'completed' END AS promotion_status,
+        CASE WHEN uri IS NULL THEN 'source has no model ' || c.model_uri END AS error_message,
+        'build-7' AS harness_build_id, c.quality_score, c.eval_status,
+        coalesce(image, 'unknown') AS container_image, uri, 'prd-workload' AS env, 'source' AS promoted_from,
+        CASE WHEN uri IS NULL THEN 'build-7' ELSE build END AS label_build, CASE WHEN uri IS NULL THEN 4 ELSE 8 END AS n_labels,
+        c.quality_score AS metadata_score, c.display_name AS metadata_name, 8 AS n_metadata
+      FROM checked c LEFT JOIN (SELECT * FROM registry WHERE version % 7 > 0) r ON r.resource_name = c.model_uri
+        LEFT JOIN known k ON k.display_name = c.display_name
       WHERE gate_passed""")
     add("promotion_gate_run", _LATEST, _gate("latest", 0.3))
 
@@ -468,6 +527,27 @@ SELECT id, CAST(rank AS INTEGER) AS rank, similar_id, cosine FROM ranked WHERE r
     add("one_hot_unseen", _PREPARED + ", seen AS (SELECT DISTINCT Country FROM prepared WHERE Region = 'EUROPE')", """
       SELECT id, (SELECT CAST(count(*) AS INTEGER) FROM seen) AS n_slots,
         CASE WHEN Country IN (SELECT Country FROM seen) THEN 1 ELSE 0 END AS n_set FROM prepared""")
+    add("features_assembled", _PREPARED, """SELECT id, (SELECT CAST(1 + count(DISTINCT Country) + count(DISTINCT Region)
+      + count(DISTINCT Type) + count(DISTINCT Style) + count(DISTINCT Grape) AS INTEGER) FROM prepared) AS n_slots, 5 AS n_set FROM prepared""")
+    add("rf_train_score", _ITEMS, f"""SELECT {_split()} AS split, count(*) AS n, count(*) AS n_scored, count(*) AS n_same, true AS r2_high
+      FROM items GROUP BY 1""")
+    add("training_run", f"{_ITEMS}, {_TARGET}, halves AS (SELECT {_split()} AS split FROM items)", """
+      SELECT 'model-3' AS display_name, parent AS resource_name, last_version + 1 AS version, false AS is_new_model,
+        (SELECT count(*) FROM halves WHERE split = 'test') AS n_test,
+        '[''price_numeric'', ''Country'', ''Region'', ''Type'', ''Style'', ''Grape'']' AS feature_order, 'true' AS ready_for_promotion,
+        'build-7' AS harness_build_id, 'prd-test' AS env, 'completed' AS eval_status, 9 AS n_labels, true AS label_holds_score,
+        true AS quality_high
+      FROM known WHERE display_name = 'model-3'""")
+    add("stored_model_evaluated", "", """SELECT unnest(['all', 'without Grape', 'null targets', 'no rows']) AS "case", 'pyspark.ml' AS framework,
+        'Rating' AS target, unnest(['completed', 'failed', 'failed', 'failed']) AS evaluation_status,
+        unnest([CAST(n AS VARCHAR), '0', '0', '0']) AS test_samples,
+        unnest([NULL, 'Missing columns: Grape', 'Target column ''Rating'' has ' || tenth || ' null values', 'Test dataset is empty']) AS error_message,
+        unnest([true, false, false, false]) AS r2_high
+      FROM (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 10 = 0) AS tenth FROM orders)""")
+    add("batch_scoring_run", _PREPARED, f"""SELECT id, {_price(15)} AS input_price, Country AS input_Country, Type AS input_Type,
+      Grape AS input_Grape, Style AS input_Style, true AS grade_agrees, true AS in_range, true AS has_lineage FROM prepared""")
+    add("request_documents_streamed", "", """SELECT CAST(floor(o_orderkey / 1000) AS BIGINT) AS doc, count(*) AS n, count(*) AS n_ok,
+      count(*) AS n_same FROM orders GROUP BY 1""")
     add("python_model_score", _PREPARED, """SELECT id, round(3.0 + 0.1 * price_numeric + 0.01 * length(Country), 6)
       AS prediction FROM prepared""")
 

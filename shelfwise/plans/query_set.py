@@ -17,7 +17,7 @@ from shelfwise.operators import evaluation as V
 from shelfwise.operators import explore as E
 from shelfwise.operators import registry as R
 from shelfwise.operators import similarity as S
-from shelfwise.operators.features import TARGET, feature_order, one_hot, standardize
+from shelfwise.operators.features import TARGET, encoding_stages, feature_order, one_hot, standardize
 from shelfwise.operators.model import score, score_python, train_rating_model
 from shelfwise.operators.ordering import ensure_id, number_rows
 from shelfwise.operators.requests import clean_requests, explode_requests
@@ -29,11 +29,12 @@ from shelfwise.plans.preparation import prepare
 from shelfwise.plans.promotion import promotion_job
 from shelfwise.plans.recommender import catalog_texts, recommend, recommender_quality
 from shelfwise.plans.report import explored
-from shelfwise.plans.training import training_job
-from shelfwise.session import scratch_path
-from shelfwise.sources.catalog import read_batch_input, read_catalog, read_dataset, write_datasets
+from shelfwise.plans.training import evaluate_stored_model, training_job
+from shelfwise.session import materialize, scratch_path
+from shelfwise.sources.catalog import read_batch_input, read_catalog, read_dataset, read_requests, write_datasets
+from shelfwise.sources.models import load_model, save_model
 from shelfwise.sources.predictions import read_predictions, with_lineage, write_predictions, write_record
-from shelfwise.streaming.scorer import score_requests, start_scoring
+from shelfwise.streaming.scorer import read_request_stream, score_requests, start_scoring
 
 CATEGORIES = list(C.CATEGORICAL_COLUMNS)
 FEATURES = ["price_numeric", *CATEGORIES]
@@ -70,14 +71,14 @@ def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "catalog")
     A.items(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
-    return read_catalog(spark, path).select("id", "Country", "Region", "Price")
+    return read_catalog(spark, path).select("id", *CATEGORIES, "Price")
 
 
 @query
 def jsonl_batch_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "batch") + ".jsonl"
     A.items(spark, sf_dir).write.json(path)
-    schema = "id bigint, Country string, Type string, Price string"
+    schema = "id bigint, Country string, Region string, Type string, Style string, Grape string, Price string"
     return read_batch_input(spark, path, schema)
 
 
@@ -85,7 +86,8 @@ def jsonl_batch_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 def datasets_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "datasets")
     write_datasets(hash_split(prepared(spark, sf_dir)), path)
-    return read_dataset(spark, path, "test").select("id", "price_numeric", "Rating")
+    parts = [read_dataset(spark, path, split).select("id", "price_numeric", "Rating", "split") for split in ("test", "train")]
+    return parts[0].union(parts[1])
 
 
 @query
@@ -335,6 +337,21 @@ def result_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.result_validation(stamped)
 
 
+@query
+def result_validation_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One region's run wrote nothing."""
+    graded = V.present_predictions(predicted(spark, sf_dir).filter("Region <> 'ASIA'"), ["Country"], keep=["Region"])
+    stamped = graded.select(F.concat(F.lit("batch_"), "Region").alias("batch_run_id"), F.lit("train_1").alias("training_run_id"), "quality_score")
+    runs = A.table(spark, sf_dir, "region").select(F.concat(F.lit("batch_"), "r_name").alias("batch_run_id"))
+    return V.result_validation(stamped, expected=runs)
+
+
+@query
+def result_validation_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graded = V.present_predictions(predicted(spark, sf_dir), ["Country"]).filter("quality_score > 1000")
+    return V.result_validation(graded.select(F.lit("batch_1").alias("batch_run_id"), F.lit("train_1").alias("training_run_id"), "quality_score"))
+
+
 @query
 def scoring_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = predicted(spark, sf_dir).withColumn("prediction", F.when(F.col("Country") != "NATION_9", F.col("prediction")))
@@ -407,13 +424,19 @@ def labels_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sequence(F.lit(1), (F.col("user_id") % 15 + 1).cast("int")),
         lambda i: F.struct(F.concat(F.lit("k"), i.cast("string")), F.lit("v")),
     ))
-    capped = A.table(spark, sf_dir, "events").select("event_id", L.cap_labels(many, "build-7").alias("m"))
-    return capped.select("event_id", F.size("m").alias("n_labels"), F.col("m")["environment"].alias("environment"))
+    capped = A.table(spark, sf_dir, "events").select("event_id", L.budget_labels(many, "build-7").alias("m"))
+    return capped.select(
+        "event_id", F.size("m.stored").alias("n_labels"), F.col("m.stored")["environment"].alias("environment"),
+        F.size("m.overflow").alias("n_overflow"),
+    )
 
 
 @query
 def versions_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.versions_newest_first(A.registry(spark, sf_dir)).select("display_name", "resource_name", "version")
+    listed = R.versions_newest_first(A.registry(spark, sf_dir)).select("display_name", "resource_name", "version")
+    # The place each row comes out at: ordered partitions follow each other, and rows keep their order in them.
+    placed = materialize(listed.withColumn("row", F.monotonically_increasing_id()), "versions")
+    return number_rows(placed, ["row"], "place").drop("row")
 
 
 @query
@@ -449,6 +472,30 @@ def gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.withColumn("failure_reasons", F.array_join("failure_reasons", "; "))
 
 
+@query
+def gate_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores as text, every third of them no number: refused with a reason, and no end of the run."""
+    score_text = F.when(F.col("version") % 3 == 0, F.lit("n/a")).otherwise(F.replace(F.col("labels")["quality-score"], F.lit("-"), F.lit(".")))
+    rows = _fetched(spark, sf_dir).drop("quality_score").join(
+        A.registry(spark, sf_dir).select(F.col("resource_name").alias("model_uri"), score_text.alias("quality_score")), "model_uri"
+    )
+    return R.gate_with_reasons(rows).withColumn("failure_reasons", F.array_join("failure_reasons", "; "))
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 5 > 0, F.concat(F.lit("model-"), (F.col("user_id") % 20).cast("string"))).alias("display_name"),
+        F.col("ts").alias("create_time"),
+        F.when(F.col("event_id") % 7 > 0, F.concat(F.lit("store/"), F.col("event_id").cast("string"))).alias("uri"),
+        F.lit("image:1").alias("image"), _metadata().alias("metadata"),
+    )
+
+
+@query
+def failed_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.failed_registrations(_candidates(spark, sf_dir), "build-7")
+
+
 @query
 def registered_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = A.table(spark, sf_dir, "events").select(
@@ -470,14 +517,21 @@ def default_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def promotion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, registrations = promotion_job(
-        A.registry(spark, sf_dir), _target(spark, sf_dir), "source", "target", "2025-08-07", 0.3, "build-7"
+    """Every user's newest ready model; every seventh version is gone from the source after the gate."""
+    source = A.registry(spark, sf_dir).withColumn("display_name", F.concat(F.lit("model-"), F.col("labels")["harness-build-id"]))
+    target = _target(spark, sf_dir)
+    checked, _ = promotion_job(source, target, "source", "target", "2025-08-07", 0.3, "build-7")
+    registrations = R.promote_models(
+        checked, source.filter("version % 7 > 0"), target, "source", "target", "2025-08-07", "build-7",
+        promotion_timestamp="2025-08-07T10:00:00Z",
     )
     labels = F.col("labels")
     return registrations.select(
         "*", labels["env"].alias("env"), labels["promoted-from"].alias("promoted_from"),
         labels["harness-build-id"].alias("label_build"), F.size(labels).alias("n_labels"),
-    ).drop("labels")
+        F.col("metadata")["quality_score"].try_cast("double").alias("metadata_score"), F.col("metadata")["model_name"].alias("metadata_name"),
+        F.size("metadata").alias("n_metadata"),
+    ).drop("labels", "metadata")
 
 
 @query
@@ -573,11 +627,35 @@ def one_hot_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def features_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector a forest sees: the scaled price and one slot per category, fitted on all items."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    rows = prepared(spark, sf_dir).select("id", *FEATURES)
+    fitted = Pipeline(stages=encoding_stages(FEATURES, True)).fit(rows)
+    vector = vector_to_array("features")
+    return fitted.transform(rows).select(
+        "id", F.size(vector).alias("n_slots"), F.aggregate(vector, F.lit(0.0), lambda a, x: a + F.when(x == 1.0, 1.0).otherwise(0.0)).cast("int").alias("n_set")
+    )
+
+
 @query
 def rf_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest of production size; saved, loaded and scored again."""
     rows = hash_split(prepared(spark, sf_dir).select("id", *FEATURES, TARGET))
-    model = train_rating_model(rows.filter("split = 'train'"), FEATURES, n_estimators=20, max_depth=8, max_bins=64)
-    return rounded(V.with_quality(V.regression_metrics(score(model, rows.filter("split = 'test'")))))
+    model = train_rating_model(rows.filter("split = 'train'"), FEATURES)
+    path = save_model(spark, model, scratch_path(spark, "forest"), {"target": TARGET})
+    loaded, metadata = load_model(spark, path)
+    first = score(model, rows).withColumnRenamed("prediction", "first")
+    both = score(loaded, first)
+    spread = F.var_pop(metadata["target"])
+    error = F.col(TARGET) - F.col("prediction")
+    return both.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count("prediction").alias("n_scored"), F.count_if(F.col("first") == F.col("prediction")).alias("n_same"),
+        (F.lit(1.0) - F.avg(error * error) / spread >= 0.99).alias("r2_high"),
+    )
 
 
 @query
@@ -598,21 +676,76 @@ def python_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = _target(spark, sf_dir)
+    """The whole job; what SQL can say of it: sizes, version, fixed labels, and that the labels hold the evaluation."""
     result = training_job(
-        A.items(spark, sf_dir), n_estimators=20, max_depth=8, max_bins=64, registry=target, display_name="model-3",
-        model_path=scratch_path(spark, "model"), build_number="build-7",
+        A.items(spark, sf_dir), registry=_target(spark, sf_dir), display_name="model-3", model_path=scratch_path(spark, "model"), build_number="build-7",
+    )
+    label = F.col("labels")
+    own = result.evaluation.select(F.col("quality_score").cast("double").alias("evaluated"), F.col("test_samples").cast("bigint").alias("n_test"), "feature_order")
+    return result.registered.crossJoin(own).select(  # two single rows
+        "display_name", "resource_name", "version", "is_new_model", "n_test", "feature_order",
+        *[label[n].alias(n.replace("-", "_")) for n in ("ready-for-promotion", "harness-build-id", "env", "eval-status")], F.size(label).alias("n_labels"),
+        (F.abs(L.decode_metric_label(label["quality-score"]) - F.col("evaluated")) < 1e-4).alias("label_holds_score"),
+        (F.col("evaluated") >= 0.9).alias("quality_high"),
     )
-    return result.registered.select("display_name", "resource_name", "version", *_label_columns(F.col("labels")))
+
+
+@query
+def stored_model_evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved model on new rows by its stored features and target: completed, a column short, and with null targets."""
+    path = scratch_path(spark, "model")
+    training_job(A.items(spark, sf_dir), model_path=path)
+    rows = prepared(spark, sf_dir)
+    cases = {
+        "all": rows, "without Grape": rows.drop("Grape"),
+        "null targets": rows.withColumn(TARGET, F.when(F.col("id") % 10 > 0, F.col(TARGET))), "no rows": rows.filter("id < 0"),
+    }
+    found = [evaluate_stored_model(spark, path, data).withColumn("case", F.lit(name)) for name, data in cases.items()]
+    every = found[0]
+    for one in found[1:]:
+        every = every.unionByName(one)
+    return every.select("case", "framework", "target", "evaluation_status", "test_samples", "error_message", F.coalesce(F.col("r2_score").cast("double") >= 0.99, F.lit(False)).alias("r2_high"))
 
 
 @query
 def batch_scoring_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job; every input echoed, grades that follow from scores, lineage on every row."""
     rows = A.items(spark, sf_dir)
-    result = batch_scoring_job(
-        spark, rows, rows, scratch_path(spark, "models"), scratch_path(spark, "scores"), n_estimators=20, max_depth=8, max_bins=64
+    result = batch_scoring_job(spark, rows, rows, scratch_path(spark, "models"), scratch_path(spark, "scores"))
+    score_ = F.col("quality_score")
+    agrees = (
+        F.when(F.col("quality_grade") == "Excellent", score_ >= 4.49).when(F.col("quality_grade") == "Good", score_.between(3.99, 4.51))
+        .otherwise((F.col("quality_grade") == "Average") & (score_ < 4.01))
+    )
+    lineage = F.col("batch_run_id").startswith("batch-") & F.col("training_run_id").startswith("rating-") & F.col("model_path").endswith(F.col("training_run_id"))
+    inputs = [F.col(f"input_{c}") for c in C.BATCH_CATEGORICAL_COLUMNS]
+    return result.predictions.select(
+        "id", F.col("input_price_numeric").cast("double").alias("input_price"), *inputs, agrees.alias("grade_agrees"),
+        score_.between(3.0, 5.0).alias("in_range"), lineage.alias("has_lineage"),
+    )
+
+
+@query
+def request_documents_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indented documents, a file each, read as batch and as stream and scored by a saved forest: the same answers."""
+    rows = prepared(spark, sf_dir)
+    path = save_model(spark, train_rating_model(rows, FEATURES), scratch_path(spark, "forest"), {"target": TARGET})
+    model, _ = load_model(spark, path)
+    instance = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("price_numeric", "Country", "Region", "Type", "Style", "Grape")])
+    listed = rows.groupBy(F.floor(F.col("id") / 1000).alias("doc")).agg(F.sort_array(F.collect_list(F.struct("id", instance.alias("row")))).alias("rows"))
+    inbox = scratch_path(spark, "inbox")
+    documents = listed.select("doc", F.to_json(F.struct(F.col("rows.row").alias("instances")), {"pretty": "true"}).alias("value"))
+    documents.repartition("doc").write.partitionBy("doc").option("lineSep", "\n\n").text(inbox)
+    files = inbox + "/*/*.txt"
+    batch = score_requests(read_requests(spark, files), lambda df: score(model, df), keep=["path"])
+    output = scratch_path(spark, "scores")
+    stream = score_requests(read_request_stream(spark, files), lambda df: score(model, df), keep=["path"])
+    start_scoring(stream, output, scratch_path(spark, "progress"), scratch_path(spark, "checks"), order_by=["path", "position"]).awaitTermination()
+    streamed = spark.read.parquet(output).select("path", "position", F.col("prediction").alias("streamed"), F.col("status").alias("stream_status"))
+    both = batch.join(streamed, ["path", "position"], "full")
+    return both.groupBy(F.regexp_extract("path", "doc=(\\d+)", 1).cast("bigint").alias("doc")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "OK").alias("n_ok"), F.count_if(F.col("prediction") == F.col("streamed")).alias("n_same"),
     )
-    return result.validation.select("n", "min_score", "max_score")
 
 
 @query

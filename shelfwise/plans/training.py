@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ast
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from shelfwise.operators.evaluation import (
-    QUALITY_THRESHOLD, evaluation_record, fit_report, pass_threshold, require_contract,
+    QUALITY_THRESHOLD, evaluation_record, failed_evaluation, fit_report, pass_threshold, require_contract,
 )
 from shelfwise.operators.features import TARGET, feature_order
 from shelfwise.operators.model import score, train_rating_model
@@ -19,7 +19,7 @@ from shelfwise.operators.registry import register_models
 from shelfwise.operators.split import hash_split
 from shelfwise.plans.preparation import prepare
 from shelfwise.session import materialize
-from shelfwise.sources.models import save_model
+from shelfwise.sources.models import load_model, save_model
 
 
 @dataclass(frozen=True)
@@ -71,3 +71,20 @@ def training_job(
         registered = register_models(candidate, registry, build_number)
     rows.unpersist()
     return TrainingResult(model, features, evaluation, report, registered)
+
+
+def evaluate_stored_model(spark: SparkSession, path: str, data: DataFrame) -> DataFrame:
+    """Evaluate a saved model on given rows by its stored feature order and target: one record, completed or failed.
+
+    Missing columns, null targets and empty data give a ``failed`` record with the error; nothing is raised for them.
+    """
+    model, metadata = load_model(spark, path)
+    features, target = ast.literal_eval(metadata["feature_order"]), metadata["target"]
+    carried = {k: metadata[k] for k in ("framework", "feature_order", "target")}
+    missing = [c for c in [*features, target] if c not in data.columns]
+    if missing:
+        return failed_evaluation("Missing columns: " + ", ".join(missing), spark, carried)
+    nulls = data.agg(F.count_if(F.col(target).isNull())).first()[0]
+    if nulls:
+        return failed_evaluation(f"Target column '{target}' has {nulls} null values", spark, carried)
+    return evaluation_record(score(model, data.select(*features, target)), carried, target)

@@ -3,20 +3,17 @@
 from __future__ import annotations
 
 import datetime
-import hashlib
-import os
-import socket
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def new_run_id(prefix: str, now: datetime.datetime | None = None, context: str | None = None) -> str:
-    """``<prefix>_<yyyymmdd_hhmmss>_<6 hex digits>``, made once on the driver."""
-    stamp = (now or datetime.datetime.now()).strftime("%Y%m%d_%H%M%S")
-    origin = context or f"{os.getpid()}_{socket.gethostname()}"
-    return f"{prefix}_{stamp}_{hashlib.md5(origin.encode()).hexdigest()[:6]}"
+def new_run_id(prefix: str, now: datetime.datetime | None = None) -> str:
+    """``<prefix>-<UTC time>-<random>``: sorts by time, and no two runs share one. Made once, on the driver."""
+    moment = now or datetime.datetime.now(datetime.timezone.utc)
+    return f"{prefix}-{moment:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:16]}"
 
 
 def with_lineage(df: DataFrame, training_run_id: str, batch_run_id: str, model_path: str) -> DataFrame:

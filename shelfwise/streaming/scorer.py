@@ -15,11 +15,11 @@ from shelfwise.operators.requests import REQUEST_ORDER, clean_requests, explode_
 
 
 def read_request_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of (value, path) from a folder of request documents, one document a line."""
+    """A stream of (value, path) from a folder of request documents, one file each, as ``read_requests`` reads them."""
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.text(folder).select("value", F.col("_metadata.file_path").alias("path"))
+    return reader.text(folder, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def score_requests(
@@ -40,11 +40,13 @@ def score_requests(
 
 def start_scoring(
     scored: DataFrame, output: str, checkpoint: str, checks: str | None = None, trigger: dict | None = None,
+    order_by: Sequence[str] = ("position",),
 ) -> StreamingQuery:
     """Write a scored stream as Parquet, each micro-batch with its validation record.
 
     Both are written under the number of the micro-batch, so a batch that is run
-    again after a failure replaces its own rows and nothing doubles.
+    again after a failure replaces its own rows and nothing doubles. ``order_by``
+    (document, position) says which prediction is the record's sample.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("batch_id", F.lit(batch_id))
@@ -52,7 +54,7 @@ def start_scoring(
         dynamic = {"partitionOverwriteMode": "dynamic"}
         rows.write.mode("overwrite").options(**dynamic).partitionBy("batch_id").parquet(output)
         if checks:
-            record = scoring_check(rows, order_by="position", by=["batch_id"])
+            record = scoring_check(rows, order_by=order_by, by=["batch_id"])
             record.write.mode("overwrite").options(**dynamic).partitionBy("batch_id").parquet(checks)
             rows.unpersist()
 

@@ -71,7 +71,7 @@ def test_decode(spark, label, number):
 
 @pytest.mark.parametrize("text,label", [
     ("0.8500", "0-8500"), ("completed", "completed"), ("COMPLETED", "completed"), ("test.value", "test-value"),
-    ("test@value!", "test-value-"), ("x" * 80, "x" * 63),
+    ("test@value!", "test-value-"), ("x" * 80, "x" * 80),
 ])
 def test_encode_text(spark, text, label):
     assert one(spark, L.encode_text_label(F.lit(text))) == label
@@ -85,12 +85,39 @@ def test_invalid_metrics_are_left_out(spark):
     }
 
 
-def test_merge_and_cap(spark):
+def test_merge_and_budget(spark):
     added, source = L.literal_map({"a": "1", "b": "1"}), L.literal_map({"b": "2", "c": "2"})
     assert one(spark, L.merge_labels(added, source)) == {"a": "1", "b": "2", "c": "2"}
     assert one(spark, L.merge_labels(added, source, {"c": "3"})) == {"a": "1", "b": "2", "c": "3"}
     eleven = L.literal_map({f"k{i}": "v" for i in range(11)})
-    assert one(spark, L.cap_labels(eleven, "7")) == {"ready-for-promotion": "true", "build-id": "7", "environment": "prd-test"}
+    both = one(spark, L.budget_labels(eleven, "7"))
+    assert both["stored"] == {"ready-for-promotion": "true", "build-id": "7", "environment": "prd-test"}
+    assert both["overflow"] == {f"k{i}": "v" for i in range(11)}  # nothing is lost
+    few = one(spark, L.budget_labels(added, "7"))
+    assert few["stored"] == {"a": "1", "b": "1"} and few["overflow"] == {}
+
+
+def test_registering_keeps_every_label_and_sign(spark):
+    metadata = {"r2_score": "0.9", "rmse": "0.1", "mae": "0.1", "mse": "0.1", "quality_score": "0.9", "evaluation_status": "x" * 80}
+    rows = [("m", datetime.datetime(2024, 1, 1), "store/1", "image", metadata), ("m", datetime.datetime(2024, 1, 1), "store/1", "image", metadata),
+            (None, datetime.datetime(2024, 1, 1), "store/2", "image", metadata), ("n", datetime.datetime(2024, 1, 1), " ", "image", None)]
+    candidates = spark.createDataFrame(rows, "display_name string, create_time timestamp, uri string, image string, metadata map<string,string>")
+    known = spark.createDataFrame([], "display_name string, version bigint, resource_name string, create_time timestamp")
+    new = R.register_models(candidates, known, "7").collect()
+    assert sorted(r.version for r in new) == [1, 2]
+    assert all(len(r.labels) == 9 and r.labels["eval-status"] == "x" * 80 for r in new)
+    failed = {r.error_message for r in R.failed_registrations(candidates, "7").collect()}
+    assert failed == {"candidate has no display name", "candidate has no uri"}
+
+
+def test_a_model_missing_from_the_source_is_a_failed_record(spark):
+    models = spark.createDataFrame([("models/1", "m", "completed", "n/a", "true", "b")], "model_uri string, display_name string, eval_status string, quality_score string, ready_for_promotion string, harness_build_id string")
+    refused = R.gate_with_reasons(models, 0.5).first()
+    assert not refused.gate_passed and refused.failure_reasons[0] == "quality_score n/a is not a number"
+    passed = R.gate_with_reasons(models.withColumn("quality_score", F.lit("0.9")), 0.5)
+    source = versions(spark)
+    record = R.promote_models(passed, source.filter("false"), source.filter("false"), "a", "b", "2025-01-02").first()
+    assert record.promotion_status == "failed" and record.error_message == "source has no model models/1" and record.model_version == ""
 
 
 def versions(spark):

@@ -43,8 +43,9 @@ def test_batch_input_formats(spark, tmp_path):
 
 
 def test_run_ids():
-    run = predictions.new_run_id("batch", datetime.datetime(2025, 6, 9, 14, 1, 42), "1_local")
-    assert run.startswith("batch_20250609_140142_") and len(run.rsplit("_", 1)[1]) == 6
+    moment = datetime.datetime(2025, 6, 9, 14, 1, 42)
+    runs = {predictions.new_run_id("batch", moment) for _ in range(1000)}
+    assert len(runs) == 1000 and all(r.startswith("batch-20250609T140142-") for r in runs)
 
 
 def test_rewriting_a_run_replaces_only_that_run(spark, tmp_path):
@@ -93,13 +94,13 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     inbox, out, checks, progress = (str(tmp_path / n) for n in ("in", "out", "checks", "progress"))
     (tmp_path / "in").mkdir()
     for i, text in enumerate(DOCUMENTS[:4]):
-        (tmp_path / "in" / f"{i}.txt").write_text(text + "\n")
+        (tmp_path / "in" / f"{i}.txt").write_text(text.replace("[", "[\n  ").replace(",", ",\n  ") + "\n")  # indented, as they are sent
     for _ in range(2):  # the second start finds nothing new
         stream = score_requests(read_request_stream(spark, inbox, 2), rate)
         start_scoring(stream, out, progress, checks).awaitTermination()
     columns = ["position", "prediction", "quality_grade", "status", "error"]
     got = sorted(map(str, spark.read.parquet(out).select(columns).collect()))
-    want = sorted(map(str, score_requests(spark.read.text(inbox), rate).select(columns).collect()))
+    want = sorted(map(str, score_requests(catalog.read_requests(spark, inbox), rate).select(columns).collect()))
     assert got == want
     records = spark.read.parquet(checks).collect()
     assert len(records) == 2 and sum(r.predictions_count for r in records) == 3
