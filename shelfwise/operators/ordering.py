@@ -61,7 +61,21 @@ def number_rows(
     df: DataFrame, order_by: Sequence[str | Column], name: str = "row_number", start: int = 1,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Number rows from ``start`` in a total order, overall or per group."""
+    """Number rows from ``start`` in a total order, overall or per group.
+
+    Without groups one shuffle does: rows are sorted in their slices before they
+    are written, with their place, and the numbers of earlier slices are added.
+    """
+    if not partition_by:
+        ranged = materialize(
+            df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+            .withColumn(_SLICE, F.spark_partition_id())
+            .withColumn(_PART, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
+            "ranged",
+        )
+        earlier = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+        carry = ranged.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("n")).select(_SLICE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(_CARRY))
+        return ranged.join(F.broadcast(carry), _SLICE).select(*df.columns, (F.col(_PART) + F.col(_CARRY) + F.lit(start)).alias(name))
     numbered = running_total(df, order_by, F.lit(1).cast("bigint"), name, partition_by)
     return numbered if start == 1 else numbered.withColumn(name, F.col(name) + F.lit(start - 1))
 
@@ -85,7 +99,7 @@ def number_rows_in_file_order(df: DataFrame, name: str = "id", start: int = 1) -
     ``df`` must come straight from a file reader. Rows of one file block are
     contiguous in their task, so the distance to the first row of the block is
     the place in the block; the table of blocks, one short row each, gives the
-    number of rows before it.
+    number of rows before it. Files are added up by range, not in one task.
     """
     columns = df.columns
     placed = df.select(
@@ -98,9 +112,8 @@ def number_rows_in_file_order(df: DataFrame, name: str = "id", start: int = 1) -
         F.count(F.lit(1)).alias("__rows"), F.min("__place").alias("__first")
     )
     files = blocks.groupBy("__file").agg(F.sum("__rows").alias("__rows"))
-    before_file = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     before_block = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    file_offset = files.select("__file", F.coalesce(F.sum("__rows").over(before_file), F.lit(0)).alias("__files_before"))
+    file_offset = running_total(files, ["__file"], "__rows", "__upto").select("__file", (F.col("__upto") - F.col("__rows")).alias("__files_before"))
     offsets = (
         blocks.withColumn("__blocks_before", F.coalesce(F.sum("__rows").over(before_block), F.lit(0)))
         .join(file_offset, "__file")

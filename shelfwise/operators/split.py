@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.hashing import key_digest
+from shelfwise.session import materialize
 
 _DIGITS = 4
 
@@ -19,34 +20,34 @@ def hash_split(df: DataFrame, key: str = "id", test_size: float = 0.2, seed: int
     return df.withColumn("split", F.when(low, "test").otherwise("train"))
 
 
+def _cut(rows: DataFrame, bucket: Column, wanted: Column) -> DataFrame:
+    """The one bucket that holds the wanted-th row in bucket order, and how many rows of it are wanted.
+
+    The window is over at most 16 ** _DIGITS buckets, whatever the rows.
+    """
+    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    counts = rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    placed = counts.select("bucket", (F.sum("n").over(upto) - F.col("n")).alias("before"), F.sum("n").over(upto).alias("upto"), wanted.alias("wanted"))
+    holding = placed.filter((F.col("before") < F.col("wanted")) & (F.col("wanted") <= F.col("upto")))
+    return holding.agg(F.max("bucket").alias("bucket"), F.max(F.col("wanted") - F.col("before")).alias("take"))
+
+
 def exact_split(df: DataFrame, key: str = "id", test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``split`` with exactly ceil(n * test_size) test rows: those of the lowest hashes.
 
-    ``key`` must be unique. Hashes are counted by their first four digits; only
-    the rows of the one bucket that holds the cut, 1 in 65,536, are ranked.
+    ``key`` must be unique. Hashes are counted by their first four digits, those
+    of the bucket that holds the cut by the next four, and only what shares all
+    eight, 1 row in 4 billion, is ranked. Keys and hashes are written once.
     """
     digest = key_digest(F.col(key), seed)
-    bucket = F.substring(digest, 1, _DIGITS)
-    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cut = (
-        counts.select(
-            "bucket",
-            (F.sum("n").over(upto) - F.col("n")).alias("before"),
-            F.sum("n").over(upto).alias("upto"),
-            F.ceil(F.round(F.sum("n").over(everything) * F.lit(test_size), 9)).alias("wanted"),
-        )
-        .filter((F.col("before") < F.col("wanted")) & (F.col("wanted") <= F.col("upto")))
-        .agg(F.max("bucket").alias("bucket"), F.max(F.col("wanted") - F.col("before")).alias("take"))
-    )
-    cut_bucket = cut.select("bucket").scalar()
-    in_cut = df.select(F.col(key).alias("__key"), digest.alias("__digest")).filter(
-        F.substring("__digest", 1, _DIGITS) == cut_bucket
-    )
+    keys = materialize(df.select(F.col(key).alias("__key"), digest.alias("__digest")), "keys")
+    first, second = (F.substring("__digest", 1 + k * _DIGITS, _DIGITS) for k in (0, 1))
+    wanted = keys.agg(F.ceil(F.round(F.count(F.lit(1)) * F.lit(test_size), 9)).cast("bigint")).scalar()
+    outer = _cut(keys, first, wanted)
+    inside = keys.filter(first == outer.select("bucket").scalar())
+    inner = _cut(inside, second, outer.select("take").scalar())
+    few = inside.filter(second == inner.select("bucket").scalar())
     # The cut itself as a value: the hash of the last test row.
-    ranked = in_cut.select(
-        "__digest", F.row_number().over(Window.orderBy("__digest", "__key")).cast("bigint").alias("rank")
-    )
-    last = ranked.filter(F.col("rank") == cut.select("take").scalar()).agg(F.max("__digest").alias("digest"))
+    ranked = few.select("__digest", F.row_number().over(Window.orderBy("__digest", "__key")).cast("bigint").alias("rank"))
+    last = ranked.filter(F.col("rank") == inner.select("take").scalar()).agg(F.max("__digest").alias("digest"))
     return df.withColumn("split", F.when(digest <= last.scalar(), "test").otherwise("train"))
