@@ -27,13 +27,18 @@ def grams_of(words: Words, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return (words.hashes & mask).astype(np.int64), (mix(before * STEPS[61] + words.hashes * STEPS[62]) & mask).astype(np.int64), owner
 
 
+def _marked(target: DataFrame, id_col: str) -> DataFrame:
+    """The target's ids, to be joined by sorting: they grow with the corpus, so no size of them is broadcast."""
+    return target.select(F.col(id_col).alias("id")).distinct().withColumn("target", F.lit(True)).hint("merge")
+
+
 def count_grams(docs: DataFrame, target: DataFrame, bits: int, id_col: str, text_col: str) -> DataFrame:
     """(kind, bucket, n_background, n_target): counts of every word and word pair of the corpus, and of target documents.
 
     Each task adds up the buckets of all its texts before anything is shuffled. Kinds: 0 words, 1 pairs, 2 contexts
     (the first word of each pair, the start of a text included).
     """
-    marked = target.select(F.col(id_col).alias("id")).distinct().withColumn("target", F.lit(True))
+    marked = _marked(target, id_col)
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(marked, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +128,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, bits: int = BUC
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     scored = rows.mapInArrow(run, f"id {id_type}, n_words bigint, inside double, outside double, background_loss double")
-    marked = target.select(F.col(id_col).alias("id")).distinct().withColumn("target", F.lit(True))
+    marked = _marked(target, id_col)
     loss = F.when(F.col("target"), F.col("inside")).otherwise(F.col("outside"))
     return scored.join(marked, "id", "left").select(
         F.col("id").alias(id_col), "n_words", loss.alias("target_loss"), "background_loss", (loss - F.col("background_loss")).alias("score")
