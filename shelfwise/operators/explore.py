@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -201,6 +201,19 @@ def _category_values(df: DataFrame, target: str, columns: Sequence[str]) -> Data
     )
 
 
+_PARTS = 64
+
+
+def _in_parts(df: DataFrame, group: Sequence[str], first: dict[str, Column], then: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """An aggregation by group and a hash of the value, then by group.
+
+    No step needs all rows of a group in one task, so the join below may split a hot category.
+    """
+    part = F.pmod(F.xxhash64("value"), F.lit(_PARTS)).alias("part")
+    parts = df.groupBy(*group, part).agg(*[column.alias(name) for name, column in first.items()])
+    return parts.groupBy(*group).agg(*[then[name](name).alias(name) for name in first])
+
+
 def boxplot_stats(df: DataFrame, target: str, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Quartiles, whiskers and outlier count of the target per category.
 
@@ -214,16 +227,16 @@ def boxplot_stats(df: DataFrame, target: str, columns: Sequence[str], exact: boo
     )
     group = ["feature", "category"]
     if exact:
-        ranked = running_total(counts, ["value"], "n", "upto", partition_by=group)
-        totals = ranked.groupBy(*group).agg(F.sum("n").alias("total"))
+        ranked = materialize(running_total(counts, ["value"], "n", "upto", partition_by=group), "ranked")
+        totals = materialize(ranked.groupBy(*group).agg(F.max("upto").alias("total")), "totals")
         placed = ranked.join(totals, group).withColumn("before", F.col("upto") - F.col("n"))
-        picks = []
+        picks = {"n": F.max("total")}
         for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
             place = (F.col("total") - 1) * F.lit(q)
             for side, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
                 here = (F.col("before") <= rank) & (rank < F.col("upto"))
-                picks.append(F.max(F.when(here, F.col("value"))).alias(f"{name}_{side}"))
-        found = placed.groupBy(*group).agg(F.max("total").alias("n"), *picks)
+                picks[f"{name}_{side}"] = F.max(F.when(here, F.col("value")))
+        found = _in_parts(placed, group, picks, dict.fromkeys(picks, F.max))
         quartiles = found.select(*group, "n", *[
             (F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low"))
              * ((F.col("n") - 1) * F.lit(q) - F.floor((F.col("n") - 1) * F.lit(q)))).alias(name)
@@ -238,25 +251,30 @@ def boxplot_stats(df: DataFrame, target: str, columns: Sequence[str], exact: boo
             .select(*group, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
         )
         values = counts.select(*group, "value", F.col("n").alias("copies"))
+    quartiles = materialize(quartiles, "quartiles")
     reach = (F.col("q3") - F.col("q1")) * F.lit(WHISKER)
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    whiskers = values.join(quartiles, group).groupBy(*group).agg(
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("copies"))).alias("n_outliers"),
+    whiskers = _in_parts(
+        values.join(quartiles, group), group,
+        {
+            "whisker_low": F.min(F.when(inside, F.col("value"))), "whisker_high": F.max(F.when(inside, F.col("value"))),
+            "n_outliers": F.sum(F.when(inside, F.lit(0)).otherwise(F.col("copies"))),
+        },
+        {"whisker_low": F.min, "whisker_high": F.max, "n_outliers": F.sum},
     )
     return quartiles.join(whiskers, group)
 
 
-def boxplot_outliers(df: DataFrame, target: str, columns: Sequence[str], key: str = "id", exact: bool = True) -> DataFrame:
-    """The single points beyond the whiskers.
+def boxplot_outliers(
+    df: DataFrame, target: str, columns: Sequence[str], key: str = "id", exact: bool = True, stats: DataFrame | None = None,
+) -> DataFrame:
+    """The single points beyond the whiskers, of ``stats`` where they are there already.
 
     The whiskers are written out first: with their size known, Spark broadcasts
     them where they are small, and the points are then not shuffled at all.
     """
-    stats = materialize(
-        boxplot_stats(df, target, columns, exact).select("feature", "category", "whisker_low", "whisker_high"), "whiskers"
-    )
+    stats = boxplot_stats(df, target, columns, exact) if stats is None else stats
+    stats = materialize(stats.select("feature", "category", "whisker_low", "whisker_high"), "whiskers")
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in columns])
     points = df.select(F.col(key), F.col(target).alias("value"), F.inline(entries))
     beyond = (F.col("value") < F.col("whisker_low")) | (F.col("value") > F.col("whisker_high"))

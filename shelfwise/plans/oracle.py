@@ -350,6 +350,18 @@ sums AS (SELECT position, x, sum(exp(-0.5 * ((x - price_numeric) / h) * ((x - pr
         f" AS max_value FROM explored" for c in numbers
     ))
 
+    report = {
+        "shape": ("''", ("n_rows", "n_columns")), "missing_counts": ('"column"', ("n_missing",)), "distinct_counts": ('"column"', ("n_distinct",)),
+        "value_ranges": ("feature", ("min_value", "max_value")), "histogram30": ("feature || '|' || bin", ("bin_start", "bin_end", "n")),
+        "correlation_matrix": ("feature_a || '|' || feature_b", ("correlation",)), "top10_categories": ("feature || '|' || category", ("n", "rank")),
+        "boxplot_stats": ("feature || '|' || category", ("n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")),
+    }
+    names = {"histogram30": "histogram", "top10_categories": "top_categories"}
+    sql["eda_report"] = " UNION ALL ".join(
+        f"""SELECT '{names.get(t, t)}' AS "table", {item} AS item, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({sql[t]})"""
+        for t, (item, measures) in report.items() for m in measures
+    )
+
     # Split and features
     add("split_assignment", _ITEMS, f"SELECT id, {_split()} AS split FROM items")
     add("split_counts", _ITEMS, f"SELECT {_split()} AS split, count(*) AS n FROM items GROUP BY 1")

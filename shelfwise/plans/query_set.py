@@ -28,7 +28,7 @@ from shelfwise.plans.batch import batch_scoring_job
 from shelfwise.plans.preparation import prepare
 from shelfwise.plans.promotion import promotion_job
 from shelfwise.plans.recommender import catalog_texts, recommend, recommender_quality
-from shelfwise.plans.report import explored
+from shelfwise.plans.report import eda_report_long, explored
 from shelfwise.plans.training import evaluate_stored_model, training_job
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sources.catalog import read_batch_input, read_catalog, read_dataset, read_requests, write_datasets
@@ -254,6 +254,11 @@ def value_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(E.value_ranges(explored(A.items(spark, sf_dir))))
 
 
+@query
+def eda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(eda_report_long(A.items(spark, sf_dir)))
+
+
 # Split and features
 
 
