@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,31 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``job_scratch`` removes it at a job's end."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was put below the shared folder inside, and only that.
+
+    For a job that writes its results elsewhere: frames made inside can't be read afterwards.
+    """
+    start = len(_scratch)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _scratch[start:]:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        del _scratch[start:]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

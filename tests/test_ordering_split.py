@@ -71,3 +71,19 @@ def test_boxplot_of_one_dominant_category(spark):
     for r in want:
         found = exact[r.Type]
         assert [found.q1, found.median, found.q3] == pytest.approx(r.q)
+
+
+def test_job_scratch_is_deleted_and_nothing_else(spark, tmp_path):
+    import os
+
+    from shelfwise.session import job_scratch, materialize
+
+    local = lambda df: df.inputFiles()[0].split(":", 1)[1].replace("///", "/")
+    before = materialize(spark.range(3), "outer")
+    with job_scratch(spark):
+        inner = materialize(spark.range(5), "inner")
+        inner.write.parquet(str(tmp_path / "result"))
+        path = local(inner)
+        assert os.path.exists(path)
+    assert not os.path.exists(path) and os.path.exists(local(before))
+    assert spark.read.parquet(str(tmp_path / "result")).count() == 5 and before.count() == 3
