@@ -42,7 +42,8 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    found = decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +74,30 @@ QUERIES = {
     for f in (op1_lm_scoring, op2_near_duplicates, op3_token_counts, op4_toxicity, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id, op10_html_extraction)
 }
 
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
 ORACLE_SQL = {
+    "op6_decontamination": f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS ws FROM documents), iw AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+item_windows AS (
+  SELECT item_id, least(len(ws), 13) AS size, ws[i:i + least(len(ws), 13) - 1] AS g
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM iw WHERE len(ws) > 0)
+), sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, i, size, ws[i:i + size - 1] AS g
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM dw, sizes WHERE len(ws) >= size)
+), hits AS (SELECT DISTINCT doc_id, i, d.size, item_id FROM doc_windows d JOIN item_windows w ON d.g = w.g AND d.size = w.size),
+hit_words AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(w.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(w.n, 0) > 0 AND 20 * coalesce(w.n, 0) >= len(ws) AS contaminated
+FROM dw LEFT JOIN hit_words w USING (doc_id) LEFT JOIN hit_items t USING (doc_id)""",
     "op5_chat_formatting": """
 WITH turns AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
