@@ -3,28 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import SPACED, STEPS, Words, mix, slices, words_of, workers_see_library
+from shelfwise.llm.common import SLICE_BYTES, SPACED, STEPS, Words, mix, slices, words_of, workers_see_library
 from shelfwise.session import materialize
 
-BUCKET_BITS = 18  # the shared vocabulary: words and word pairs are hashed to so many buckets each
+KEY_BITS = 64  # words and word pairs are known by hashes of so many bits
 MIXTURE = 0.6  # share of the bigram estimate in the interpolation
 ADDED = 0.5  # added to each unigram count
+BLOCK_BYTES = 8 << 20  # text bytes that ask for their counts together; a longer text is a block of its own
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+CELL = "slot int, block bigint, kind int, size bigint, keys binary, counts array<binary>"
+
+
+def _mask(bits: int) -> np.uint64:
+    return np.uint64((1 << bits) - 1)
 
 
 def grams_of(words: Words, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(unigram bucket, bigram bucket, text number) of every word; a text's first word follows the text's start."""
+    """(word key, pair key, text number) of every word; a text's first word follows the text's start."""
     owner = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
-    before = np.concatenate([np.zeros(1, np.uint64), words.hashes[:-1]]) if len(words.hashes) else words.hashes
-    starts = words.first[:-1][np.diff(words.first) > 0]
-    before[starts] = STEPS[60]
-    mask = np.uint64((1 << bits) - 1)
-    return (words.hashes & mask).astype(np.int64), (mix(before * STEPS[61] + words.hashes * STEPS[62]) & mask).astype(np.int64), owner
+    before = _before(words)
+    return words.hashes & _mask(bits), mix(before * STEPS[61] + words.hashes * STEPS[62]) & _mask(bits), owner
+
+
+def _before(words: Words) -> np.ndarray:
+    before = np.concatenate([np.zeros(1, np.uint64), words.hashes[:-1]]) if len(words.hashes) else words.hashes.copy()
+    before[words.first[:-1][np.diff(words.first) > 0]] = STEPS[60]
+    return before
+
+
+def contexts_of(words: Words, bits: int) -> np.ndarray:
+    """The key of the word before each word (of the start for first words)."""
+    return _before(words) & _mask(bits)
 
 
 def _marked(target: DataFrame, id_col: str) -> DataFrame:
@@ -32,104 +51,219 @@ def _marked(target: DataFrame, id_col: str) -> DataFrame:
     return target.select(F.col(id_col).alias("id")).distinct().withColumn("target", F.lit(True)).hint("merge")
 
 
-def count_grams(docs: DataFrame, target: DataFrame, bits: int, id_col: str, text_col: str) -> DataFrame:
-    """(kind, bucket, n_background, n_target): counts of every word and word pair of the corpus, and of target documents.
+@contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a finished write go at once: what was written is read from its table."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers, one at least, by as many bytes as the largest needs: all lowest bytes first, compressed."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-    Each task adds up the buckets of all its texts before anything is shuffled. Kinds: 0 words, 1 pairs, 2 contexts
-    (the first word of each pair, the start of a text included).
+
+def unpack(data: bytes, size: int) -> np.ndarray:
+    planes = pa.decompress(data[1:], size * data[0], codec="zstd", asbytes=True)
+    out = np.zeros((size, 8), np.uint8)
+    out[:, : data[0]] = np.frombuffer(planes, np.uint8).reshape(data[0], size).T
+    return out.view("<u8").reshape(size)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return pack(np.diff(keys, prepend=np.zeros(1, np.uint64)))
+
+
+def unpack_keys(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(unpack(data, size), dtype=np.uint64)
+
+
+class Block:
+    """Distinct grams of some texts with their counts. Kind 0: words and the start, with counts as word and as context; 1: pairs.
+
+    `counts[kind]` has a row for each of n_background, n_target (and again as context); `at` is where each word's
+    gram, pair and context stand in `keys`.
     """
-    marked = _marked(target, id_col)
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(marked, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+
+    def __init__(self, texts: pa.RecordBatch, bits: int) -> None:
+        parts = [(np.diff(w.first), *grams_of(w, bits)[:2], contexts_of(w, bits)) for w in (words_of(p.column("text"), SPACED) for p in slices(iter([texts])))]
+        join = lambda k, kind: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind)
+        one, two, context = join(1, np.uint64), join(2, np.uint64), join(3, np.uint64)
+        self.n = join(0, np.int64)
+        self.owner = np.repeat(np.arange(len(self.n)), self.n)
+        chosen = texts.column("target").to_numpy(zero_copy_only=False).astype(bool)[self.owner]
+        words, inverse = np.unique(np.concatenate([one, context, STEPS[60:61] & _mask(bits)]), return_inverse=True)
+        pairs, pair_at = np.unique(two, return_inverse=True)
+        self.keys, self.at = (words, pairs), (inverse[: len(one)], pair_at, inverse[len(one) : 2 * len(one)])
+        tally = lambda at, size: [np.bincount(at, minlength=size), np.bincount(at[chosen], minlength=size)]
+        self.counts = (
+            np.array(tally(self.at[0], len(words)) + tally(self.at[2], len(words))),
+            np.array(tally(pair_at, len(pairs))),
+        )
+
+    def own(self, k: int) -> np.ndarray:
+        """For each word, how often its text holds its word (0), pair (1) or context (2)."""
+        _, inverse, counts = np.unique(self.owner * (len(self.keys[k % 2]) + 1) + self.at[k], return_inverse=True, return_counts=True)
+        return counts[inverse]
+
+
+def _texts(payload: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(payload).read_next_batch()
+
+
+def _cells(rows: list[tuple]) -> list[pa.Array]:
+    slot, block, kind, size, keys, counts = zip(*rows) if rows else ((),) * 6
+    return [pa.array(slot, pa.int32()), pa.array(block, pa.int64()), pa.array(kind, pa.int32()), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.list_(pa.binary()))]
+
+
+NAMES = ["id", "n_words", "target_loss", "background_loss", "score"]
+CELL_NAMES = ["slot", "block", "kind", "size", "keys", "counts"]
+
+
+def text_blocks(docs: DataFrame, target: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
+    """(block, bytes, payload): texts with their ids and whether they are target, compressed together."""
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(_marked(target, id_col), "id", "left")
+    rows = rows.select("id", F.coalesce("target", F.lit(False)).alias("target"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = 1 << bits
-        counts = np.zeros((3, 2, size), np.int32)
-        for part in slices(batches):
-            words = words_of(part.column("text"), SPACED)
-            one, two, owner = grams_of(words, bits)
-            chosen = part.column("target").to_numpy(zero_copy_only=False)[owner]
-            context = contexts_of(words, bits)
-            for kind, buckets in enumerate((one, two, context)):
-                np.add.at(counts[kind, 0], buckets, 1)
-                np.add.at(counts[kind, 1], buckets[chosen], 1)
-        for kind in range(3):
-            used = np.flatnonzero(counts[kind, 0])
-            for begin in range(0, len(used), 1 << 16):
-                at = used[begin : begin + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), kind, np.int32)), pa.array(at), *(pa.array(counts[kind, k, at].astype(np.int64)) for k in (0, 1))],
-                    names=["kind", "bucket", "n_background", "n_target"],
-                )
-
-    counted = rows.mapInArrow(run, "kind int, bucket bigint, n_background bigint, n_target bigint")
-    return counted.groupBy("kind", "bucket").agg(F.sum("n_background").alias("n_background"), F.sum("n_target").alias("n_target"))
+        number = count(TaskContext.get().partitionId() << 33)
+        held: list[pa.RecordBatch] = []
+        size = 0
 
+        def block() -> pa.RecordBatch:
+            texts = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(texts)
+            return pa.RecordBatch.from_arrays([pa.array([next(number)]), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "bytes", "payload"])
+
+        for part in slices(batches, limit=min(SLICE_BYTES, block_bytes)):
+            more = int(pc.sum(pc.binary_length(part.column("text"))).as_py() or 0)
+            if held and size + more > block_bytes:
+                yield block()
+                held, size = [], 0
+            held.append(part)
+            size += more
+        if held:
+            yield block()
+
+    return rows.mapInArrow(run, "block bigint, bytes bigint, payload binary")
 
-def contexts_of(words: Words, bits: int) -> np.ndarray:
-    """The unigram bucket of the word before each word (of the start for first words)."""
-    before = np.concatenate([np.zeros(1, np.uint64), words.hashes[:-1]]) if len(words.hashes) else words.hashes
-    before[words.first[:-1][np.diff(words.first) > 0]] = STEPS[60]
-    return (before & np.uint64((1 << bits) - 1)).astype(np.int64)
 
+def count_grams(blocks: DataFrame, bits: int, slots: int) -> DataFrame:
+    """For every block the counts over all blocks of its grams, packed by slot, in the order of its keys and without them.
+
+    A slot is a range of keys; a block sends a gram once, however often it holds it, so a hot gram is a row for each
+    block at most. Slots grow in number with the corpus and keep their size. The rows of a slot with
+    block -1, -2 and -3 have as size its number of distinct words, of all words and of the target's.
+    """
 
-def own_counts(buckets: np.ndarray, owner: np.ndarray, bits: int) -> np.ndarray:
-    """For each word, how often its text holds that bucket."""
-    _, inverse, counts = np.unique(owner << bits | buckets, return_inverse=True, return_counts=True)
-    return counts[inverse]
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = [(i << bits) // slots for i in range(1, slots)]
+        edges = np.array(edges, np.uint64)
+        for batch in batches:
+            for number, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
+                block, rows = Block(_texts(payload.as_py()), bits), []
+                for kind, keys in enumerate(block.keys):
+                    ends = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+                    for slot, (a, b) in enumerate(zip(ends, ends[1:])):
+                        if b > a:
+                            rows.append((slot, number, kind, b - a, pack_keys(keys[a:b]), [pack(c[a:b]) for c in block.counts[kind]]))
+                yield pa.RecordBatch.from_arrays(_cells(rows), names=CELL_NAMES)
 
+    def add(key: tuple, cells: pa.Table) -> pa.Table:
+        rows, slot = [], key[0].as_py()
+        for kind in (0, 1):
+            mine = cells.filter(pc.equal(cells.column("kind"), kind)).select(["block", "size", "keys", "counts"])
+            numbers, sizes = mine.column("block").to_pylist(), mine.column("size").to_pylist()
+            if not sizes:
+                continue
+            keys, at = np.unique(np.concatenate([unpack_keys(x.as_py(), n) for x, n in zip(mine.column("keys"), sizes)]), return_inverse=True)
+            packed = [x.as_py() for x in mine.column("counts")]
+            totals = []
+            for k in range(len(packed[0])):
+                given = np.concatenate([unpack(x[k], n) for x, n in zip(packed, sizes)])
+                totals.append(np.bincount(at, given, len(keys)).astype(np.int64))
+            if not kind:
+                sums = int((totals[0] > 0).sum()), int(totals[0].sum()), int(totals[1].sum())
+                rows += [(slot, -1 - i, 0, n, b"", []) for i, n in enumerate(sums)]
+            begin = 0
+            for number, n in zip(numbers, sizes):
+                own, begin = at[begin : begin + n], begin + n
+                rows.append((slot, number, kind, n, b"", [pack(t[own]) for t in totals]))
+        return pa.Table.from_arrays(_cells(rows), names=CELL_NAMES)
 
-def log_chances(counts: np.ndarray, buckets: tuple, own: tuple, own_words: np.ndarray) -> np.ndarray:
-    """Interpolated log-probability of each word after the one before it, from counts (kind, bucket) of one model.
+    return blocks.select("block", "payload").mapInArrow(ask, CELL).groupBy("slot").applyInArrow(add, CELL)
+
+
+def log_chances(counts: tuple, own: tuple, own_words: np.ndarray, n_words: int, n_distinct: int) -> np.ndarray:
+    """Interpolated log-probability of each word after the one before it, from its counts as (word, pair, context) in one model.
 
     `own` and `own_words` are taken off first: a text is judged by models that have not read it.
     """
-    one, two, context = (np.maximum(counts[k][b] - o, 0) for k, (b, o) in enumerate(zip(buckets, own)))
-    unigram = (one + ADDED) / (np.maximum(counts[0].sum() - own_words, 0) + ADDED * counts.shape[1])
+    one, two, context = (np.maximum(c - o, 0) for c, o in zip(counts, own))
+    unigram = (one + ADDED) / (np.maximum(n_words - own_words, 0) + ADDED * n_distinct)
     bigram = np.where(context > 0, two / np.maximum(context, 1), unigram)
     return np.log(MIXTURE * np.minimum(bigram, 1.0) + (1 - MIXTURE) * unigram)
 
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame, bits: int = BUCKET_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cross_entropy_difference(
+    docs: DataFrame, target: DataFrame, bits: int = KEY_BITS, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """id, n_words, target_loss, background_loss and score (their difference per word; lower: more like the target).
 
-    `target` holds ids of target documents. Both models are interpolated bigrams over one hashed vocabulary, counted
-    over whole texts: the background over all documents, the target over its own. A text's own counts are left out
-    where it is scored. The tables have a fixed size (2 ** bits buckets for words, pairs and contexts each, whatever
-    the corpus), so they are sent to the workers; the counts that tasks gather and shuffle for them grow with the
-    corpus. Null and empty texts have 0 words and null losses; with an empty target its model is uniform. Null ids are
-    scored but never target; repeated rows count and are scored each; other columns are ignored.
+    `target` holds ids of target documents. Both models are interpolated bigrams over one vocabulary, all words of the
+    corpus, counted over whole texts: the background over all documents, the target over its own. A text's own counts
+    are left out where it is scored. Null and empty texts have 0 words and null losses; with an empty target its model
+    is uniform. Null ids are scored but never target; repeated rows count and are scored each; other columns are
+    ignored. Fewer `bits` than 64 make a hashed vocabulary of 2 ** bits words, whose colliding ones are added up.
 
-    Texts are shuffled once, to find the target's; scores meet the target's ids as numbers only.
+    Every distinct word and pair is counted, in Spark tables that grow with the corpus. Texts are put together in
+    blocks; a block sends its grams with their counts, and gets the counts over all blocks back. Nothing of the corpus is broadcast; the driver gets three sums. Memory is one block of texts, or one
+    text, and one slot of keys. Texts are shuffled once as they are, and once compressed.
     """
     spark = docs.sparkSession
     workers_see_library(spark)
     id_type = docs.schema[id_col].dataType.simpleString()
-    counted = materialize(count_grams(docs, target, bits, id_col, text_col), "gram-counts")
-    tables = np.zeros((2, 3, 1 << bits), np.int64)
-    for kind in range(3):  # a third at a time: at most 2 ** bits rows
-        rows = counted.filter(F.col("kind") == kind).select("bucket", "n_background", "n_target").toArrow()
-        at = rows.column("bucket").to_numpy()
-        tables[0, kind, at] = rows.column("n_target").to_numpy()
-        tables[1, kind, at] = rows.column("n_background").to_numpy()
-    sent = spark.sparkContext.broadcast(tables)
+    with _shuffles_released(spark):
+        blocks = materialize(text_blocks(docs, target, id_col, text_col, block_bytes), "lm-texts")
+        slots = 1 + (blocks.agg(F.sum("bytes")).first()[0] or 0) // block_bytes
+        cells = materialize(count_grams(blocks, bits, slots), "lm-counts")
+    sums = cells.filter("block < 0").agg(*(F.sum(F.when(F.col("block") == -1 - i, F.col("size"))) for i in range(3))).first()
+    n_distinct, n_background, n_target = (int(x or 0) for x in sums)
+    n_distinct = n_distinct if bits == KEY_BITS else 1 << bits
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = sent.value
-        for part in slices(batches):
-            words = words_of(part.column("text"), SPACED)
-            one, two, owner = grams_of(words, bits)
-            buckets = (one, two, contexts_of(words, bits))
-            n = np.diff(words.first)
-            own, size = tuple(own_counts(b, owner, bits) for b in buckets), n[owner]
+    def score(key: tuple, texts: pa.Table, given: pa.Table) -> pa.Table:
+        out, given = [], given.sort_by([("slot", "ascending")])
+        for payload in texts.column("payload"):
+            rows = _texts(payload.as_py())
+            block = Block(rows, bits)
+            begin = [0, 0]
+            for kind, size, counts in zip(*(given.column(c).to_pylist() for c in ("kind", "size", "counts"))):
+                for k, packed in enumerate(counts):
+                    block.counts[kind][k, begin[kind] : begin[kind] + size] = unpack(packed, size)
+                begin[kind] += size
+            assert begin == [len(k) for k in block.keys], "an answer is missing"
+            own, size = tuple(block.own(k) for k in range(3)), block.n[block.owner]
             zero = tuple(np.zeros_like(x) for x in own)
-            chances = (log_chances(counts[0], buckets, own, size), log_chances(counts[0], buckets, zero, 0 * size), log_chances(counts[1], buckets, own, size))
-            losses = [pa.array(np.bincount(owner, -c, len(n)) / np.maximum(n, 1), pa.float64(), mask=n == 0) for c in chances]
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n.astype(np.int64)), *losses], names=["id", "n_words", "inside", "outside", "background_loss"])
-
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    scored = rows.mapInArrow(run, f"id {id_type}, n_words bigint, inside double, outside double, background_loss double")
-    marked = _marked(target, id_col)
-    loss = F.when(F.col("target"), F.col("inside")).otherwise(F.col("outside"))
-    return scored.join(marked, "id", "left").select(
-        F.col("id").alias(id_col), "n_words", loss.alias("target_loss"), "background_loss", (loss - F.col("background_loss")).alias("score")
-    )
+            background, inside = ((block.counts[0][m][block.at[0]], block.counts[1][m][block.at[1]], block.counts[0][2 + m][block.at[2]]) for m in (0, 1))
+            chances = (
+                log_chances(inside, own, size, n_target, n_distinct),
+                log_chances(inside, zero, 0 * size, n_target, n_distinct),
+                log_chances(background, own, size, n_background, n_distinct),
+            )
+            losses = [np.bincount(block.owner, -c, len(block.n)) / np.maximum(block.n, 1) for c in chances]
+            loss = np.where(rows.column("target").to_numpy(zero_copy_only=False), losses[0], losses[1])
+            values = [pa.array(x, pa.float64(), mask=block.n == 0) for x in (loss, losses[2], loss - losses[2])]
+            out.append(pa.RecordBatch.from_arrays([rows.column("id"), pa.array(block.n.astype(np.int64)), *values], names=NAMES))
+        return pa.Table.from_batches(out)
+
+    scored = blocks.select("block", "payload").groupBy("block").cogroup(cells.filter("block >= 0").groupBy("block"))
+    return scored.applyInArrow(score, f"id {id_type}, n_words bigint, target_loss double, background_loss double, score double").withColumnRenamed("id", id_col)

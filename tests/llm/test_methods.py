@@ -3,7 +3,7 @@
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -345,3 +345,31 @@ def test_chat_round_trip_and_events(spark):
     events = spark.createDataFrame(log, "conv_id bigint, seq bigint, event string, message bigint, role string, text string").repartition(5)
     found = {r["message"]: (r["role"], r["text"]) for r in chat.fold_events(events).collect()}
     assert found == {0: ("user", "hi!"), 1: ("assistant", "final"), 3: ("user", "next")}
+
+
+def test_scores_equal_exact_grams(spark, texts):
+    """Unhashed words and pairs: no two of them share a count, however large the corpus."""
+    docs = common.table(spark, SF, "documents")
+    labels = common.table(spark, SF, "labels").filter("quality = 1")
+    target = {r["doc_id"] for r in labels.collect()}
+    grams = {}
+    for d, t in texts.items():
+        words = SPACED.findall((t or "").translate(LOWER))
+        grams[d] = list(zip(words, zip([None, *words], words), [None, *words]))
+    counts = [[Counter(g[k] for d, own in grams.items() if m or d in target for g in own) for k in range(3)] for m in (0, 1)]
+    size, sums = len(counts[1][0]), [sum(c[0].values()) for c in counts]
+    assert len(counts[1][1]) > size
+    found = scoring.cross_entropy_difference(docs, labels, block_bytes=20_000).collect()  # many blocks
+    assert len(found) == len(texts)
+    for r in found:
+        own = grams[r["doc_id"]]
+        assert r["n_words"] == len(own)
+        mine = [Counter(g[k] for g in own) for k in range(3)]
+        for model, loss in ((0, r["target_loss"]), (1, r["background_loss"])):
+            inside = model == 1 or r["doc_id"] in target
+            value = 0.0
+            for g in own:
+                a, b, c = (counts[model][k][g[k]] - inside * mine[k][g[k]] for k in range(3))
+                p = (a + scoring.ADDED) / (sums[model] - inside * len(own) + scoring.ADDED * size)
+                value -= np.log(scoring.MIXTURE * min(b / c if c > 0 else p, 1) + (1 - scoring.MIXTURE) * p)
+            assert (loss is None and not own) or abs(loss - value / len(own)) < 1e-9
