@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -262,24 +262,19 @@ def learn_model(sample: DataFrame) -> ToxicityModel:
     enough = (F.col("pos") >= SHARE * (F.col("pos") + F.col("neg"))) & (F.col("pos") * F.lit(-np.log(base)) >= EVIDENCE)
     likely = frozenset(counts.filter(enough).toPandas().pipe(evident, base)["term"])
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             rows: dict[tuple, None] = {}
             for text, toxic in zip(part.column("text"), part.column("toxic")):
-                words = ["", *_WORD.findall(text.as_py().lower()), ""]
-                least: dict[str, int] = {}
-                for i in range(1, len(words) - 1):
-                    word = words[i]
-                    for term in (word, *(word[:k] + "*" for k in STEM if len(word) > k)):
-                        if term in likely:
-                            context = zlib.crc32(f"{words[i - 1]} {words[i + 1]}".encode())
-                            least[term] = min(context, least.get(term, context))
-                rows.update(dict.fromkeys((term, toxic.as_py(), context) for term, context in least.items()))
-            term, toxic, context = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(term, pa.string()), pa.array(toxic, pa.bool_()), pa.array(context, pa.int64())], names=["term", "toxic", "context"])
-
-    # copies of one text say a thing once: each text gives a term one context, and equal contexts count once
-    apart = sample.mapInArrow(contexts, "term string, toxic boolean, context bigint").distinct().groupBy("term")
+                words = _WORD.findall(text.as_py().lower())
+                digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                every = {term for w in set(words) for term in (w, *(w[:k] + "*" for k in STEM if len(w) > k)) if term in likely}
+                rows.update(dict.fromkeys((term, toxic.as_py(), digest) for term in every))
+            term, toxic, digest = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(term, pa.string()), pa.array(toxic, pa.bool_()), pa.array(digest, pa.binary())], names=["term", "toxic", "digest"])
+
+    # copies of one text (the same words in the same order) say a thing once; all other texts count
+    apart = sample.mapInArrow(held, "term string, toxic boolean, digest binary").distinct().groupBy("term")
     terms = choose_terms(apart.agg(F.count_if("toxic").alias("pos"), F.count_if(~F.col("toxic")).alias("neg")).toPandas(), base)
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

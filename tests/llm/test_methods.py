@@ -246,6 +246,14 @@ def test_toxicity_tells_quoting_from_abuse():
     assert score("a fine day") < score("what an idiiot he is") < score("what an idiot he is")
 
 
+def test_toxicity_learns_from_like_texts_but_not_from_copies(spark):
+    """The same two neighbours in every text; texts apart from each other count, copies don't."""
+    fine = [(f"w{i} a fine day w{i}", False) for i in range(60)]
+    learnt = lambda texts: {t.text for t in toxicity.learn_model(spark.createDataFrame([*fine, *((t, True) for t in texts)], "text string, toxic boolean")).terms}
+    assert "zorgle" in learnt([f"w{i} you zorgle now w{i}" for i in range(30)])
+    assert not learnt(["you zorgle now", "You  ZORGLE now!"] * 15)
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     found = queries.op4_toxicity(spark, sf).filter("held_out").join(common.table(spark, sf, "labels"), "doc_id").select("predicted", "toxic").toPandas()
