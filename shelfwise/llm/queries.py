@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontamination, html, language, neardup, packing, quality, scoring, tokens, toxicity
+from shelfwise.llm import chat, classifier, decontamination, html, language, neardup, negatives, packing, quality, scoring, spelling, tokens, toxicity
 from shelfwise.llm.common import fold_remainder, table
 
 
@@ -69,10 +69,30 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages, html.learn_field(pages))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sample = classifier.training_sample(docs, table(spark, sf_dir, "labels"), fold_remainder(F.col("doc_id"), 5) != 0, classifier.SAMPLE, "doc_id", "text")
+    scored = classifier.score_documents(docs, classifier.learn_model(docs, sample), threshold=0.3)
+    return scored.select("doc_id", (fold_remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings")
+    moved = F.when(given["vec_id"] % 7 == 0, (given["label"] + 1) % 10).otherwise(given["label"])
+    return negatives.hard_negatives(given.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_lm_scoring, op2_near_duplicates, op3_token_counts, op4_toxicity, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing, op9_language_id, op10_html_extraction)
-}
+    for f in (
+        op1_lm_scoring, op2_near_duplicates, op3_token_counts, op4_toxicity, op5_chat_formatting, op6_decontamination, op7_quality_rules, op8_best_fit_packing,
+        op9_language_id, op10_html_extraction, op11_spelling_variants, op12_quality_classifier, op13_hard_negatives,
+    )
+}
 
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -142,4 +162,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 O
   NOT (r0 OR r1 OR r2 OR r3 OR r4 OR r5) AS kept, n_lines,
   (r0::BIGINT + 2 * r1::BIGINT + 4 * r2::BIGINT + 8 * r3::BIGINT + 16 * r4::BIGINT + 32 * r5::BIGINT + 64 * r6::BIGINT) AS failed_rules
 FROM r""",
+    "op13_hard_negatives": """
+WITH e AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.k, a.vec_id AS anchor_id, e.k AS other, e.vec_id AS id, a.label = e.label AS same,
+    list_inner_product(a.v, e.v)::BIGINT AS score
+  FROM e a JOIN e ON a.k <> e.k WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT k, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY k ORDER BY score DESC, id, other) AS place
+  FROM s WHERE same QUALIFY place <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.k, place ORDER BY score DESC, id, other))::INTEGER AS rank, id AS negative_id,
+  positive_score, score AS negative_score
+FROM p JOIN s ON p.k = s.k AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""",
 }
