@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfwise.plans import event_oracle
+
 # Fixed values, written out here again so that a wrong one in the library shows.
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -569,4 +571,4 @@ SELECT id, CAST(rank AS INTEGER) AS rank, similar_id, cosine FROM ranked WHERE r
       CASE WHEN status = 'OK' THEN {_GRADE.format('prediction')} END AS quality_grade, status, error FROM scored""")
     add("stream_checks", _REQUESTS, """SELECT 'FAILED' AS status, count(*) AS instances, count(prediction) AS predictions
       FROM scored""")
-    return sql
+    return sql | event_oracle.oracle_sql(f"WITH {_PREPARED} SELECT id, price_numeric FROM prepared")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,6 +48,15 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def workers_see_library(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it (elsewhere it is sent with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 _scratch: list[str] = []
 
 
