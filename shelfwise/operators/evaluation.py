@@ -14,6 +14,10 @@ from shelfwise.operators.model import PREDICTION
 # Rating scale, score weights and the threshold of the quality branch.
 MAX_RATING = 5.0
 R2_WEIGHT, RMSE_WEIGHT = 0.7, 0.3
+# Texts in records of results that readers of such records know.
+NO_TEST_ROWS = "Test dataset is empty"
+WANTED_COUNT = "Expected predictions count : "
+
 QUALITY_THRESHOLD = 0.6
 METRICS = ("mse", "rmse", "mae", "r2_score")
 
@@ -85,7 +89,7 @@ def evaluation_record(
         *carried, *texts,
         F.when(ok, F.lit("completed")).otherwise(F.lit("failed")).alias("evaluation_status"),
         F.col("n").cast("string").alias("test_samples"),
-        F.when(~ok, F.lit("Test dataset is empty")).alias("error_message"),
+        F.when(~ok, F.lit(NO_TEST_ROWS)).alias("error_message"),
     )
 
 
@@ -189,7 +193,7 @@ def scoring_check(
     passed = (F.col("predictions_count") == wanted) & (F.col("predictions_count") > 0)
     return (
         counts.withColumn("status", F.when(passed, "PASSED").otherwise("FAILED"))
-        .withColumn("error", F.when(~passed, F.concat(F.lit("Expected predictions count : "), wanted.cast("string"))))
+        .withColumn("error", F.when(~passed, F.concat(F.lit(WANTED_COUNT), wanted.cast("string"))))
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import RandomForestRegressor
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.features import TARGET, encoding_stages
+from shelfwise.session import workers_see_library
 
 PREDICTION = "prediction"
 _HELPERS = ("numbers", "numbers_scaled", "features")
@@ -26,7 +28,7 @@ def train_rating_model(
     size: every level of the trees waits for the largest partition.
     """
     if target not in df.columns:
-        raise KeyError(f"Target column '{target}' not found in training data")
+        raise KeyError(f"the training rows have no column {target} to learn")
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=target, predictionCol=PREDICTION, numTrees=n_estimators,
         maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="all", seed=seed,
@@ -40,21 +42,51 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select(*df.columns, PREDICTION)
 
 
+#: The forms in which a model that exists only as a Python object may take its rows, in the order they are tried.
+INPUT_FORMS: dict[str, Callable[[pd.DataFrame], object]] = {
+    "named frame": lambda frame: frame,
+    "array": lambda frame: frame.to_numpy(),
+    "list": lambda frame: frame.to_numpy().tolist(),
+}
+
+
+def predict_rows(model: object, frame: pd.DataFrame, forms: Sequence[str] = tuple(INPUT_FORMS)) -> tuple[np.ndarray, str]:
+    """(predictions, form): by the first form that the model takes and that gives one number a row.
+
+    If it takes none, the error names what each of them ended with.
+    """
+    errors = []
+    for form in forms:
+        try:
+            found = np.asarray(model.predict(INPUT_FORMS[form](frame)), dtype="float64").reshape(-1)
+            if len(found) == len(frame):
+                return found, form
+            errors.append(f"{form}: {len(found)} predictions for {len(frame)} rows")
+        except Exception as error:  # whatever an unknown model raises: the next form may do
+            errors.append(f"{form}: {type(error).__name__}: {error}")
+    raise ValueError("the model takes its rows in no form; " + "; ".join(errors))
+
+
 def score_python(
     df: DataFrame, load_model: Callable[[], object], features: Sequence[str], batch_rows: int | None = None,
 ) -> DataFrame:
     """Add ``prediction`` by any Python model with ``predict(frame)``.
 
-    The model is loaded once per Python worker; rows arrive as Arrow batches. The
-    frame holds the features in their order, under their names.
+    The model is loaded once per Python worker; rows arrive as Arrow batches. It
+    gets the features in their order: as a frame with their names, as an array or
+    as lists, by the first form it takes (see ``predict_rows``). The form that
+    served a batch is tried first for the next one.
     """
     names = list(features)
+    workers_see_library(df.sparkSession)
 
     @F.pandas_udf("double")
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        model = load_model()
+        model, forms = load_model(), list(INPUT_FORMS)
         for batch in batches:
-            yield pd.Series(model.predict(batch[names]), dtype="float64")
+            found, form = predict_rows(model, batch[names], forms)
+            forms.sort(key=lambda f: f != form)
+            yield pd.Series(found)
 
     inputs: Column = F.struct(*names)
     return df.withColumn(PREDICTION, predict(inputs))

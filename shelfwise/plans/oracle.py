@@ -571,4 +571,4 @@ SELECT id, CAST(rank AS INTEGER) AS rank, similar_id, cosine FROM ranked WHERE r
       CASE WHEN status = 'OK' THEN {_GRADE.format('prediction')} END AS quality_grade, status, error FROM scored""")
     add("stream_checks", _REQUESTS, """SELECT 'FAILED' AS status, count(*) AS instances, count(prediction) AS predictions
       FROM scored""")
-    return sql | event_oracle.oracle_sql(f"WITH {_PREPARED} SELECT id, price_numeric FROM prepared")
+    return sql | event_oracle.oracle_sql(f"WITH {_PREPARED} SELECT * FROM prepared")

@@ -31,6 +31,14 @@ class TrainingResult:
     registered: DataFrame | None
 
 
+class EvaluationFailed(ValueError):
+    """A model could not be evaluated; ``evaluation`` is the failed record."""
+
+    def __init__(self, error: Exception, evaluation: DataFrame) -> None:
+        super().__init__(str(error))
+        self.evaluation = evaluation
+
+
 def training_job(
     catalog: DataFrame, key: str = "id", test_size: float = 0.2, seed: int = 42, n_estimators: int = 50,
     max_depth: int = 12, max_bins: int = 256, threshold: float = QUALITY_THRESHOLD,
@@ -39,7 +47,9 @@ def training_job(
 ) -> TrainingResult:
     """Train and evaluate a rating model on a catalog.
 
-    Below the threshold ``registered`` is empty. The split rows are kept on
+    Below the threshold ``registered`` is empty. Where the test rows don't allow
+    an evaluation, nothing is trained: ``EvaluationFailed`` carries the failed
+    record, which is also written to ``<model_path>/evaluation``. The split rows are kept on
     memory and disk for the passes of the forest; they are rebuilt from the
     source where an executor is lost.
     """
@@ -48,12 +58,19 @@ def training_job(
     features = feature_order(prepared)
     rows = hash_split(prepared.select(key, *features, TARGET), key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     test = rows.filter(F.col("split") == "test")
-    require_contract(test, features)
+    metadata = {"framework": "pyspark.ml", "feature_order": str(features), "target": TARGET}
+    try:
+        require_contract(test, features)
+    except ValueError as error:
+        record = materialize(failed_evaluation(str(error), spark, metadata), "evaluation")
+        if model_path:
+            record.write.mode("overwrite").json(f"{model_path}/evaluation")
+        rows.unpersist()
+        raise EvaluationFailed(error, record) from error
     model = train_rating_model(
         rows.filter(F.col("split") == "train"), features, n_estimators=n_estimators, max_depth=max_depth,
         max_bins=max_bins, seed=seed,
     )
-    metadata = {"framework": "pyspark.ml", "feature_order": str(features), "target": TARGET}
     evaluation = materialize(evaluation_record(score(model, test), metadata), "evaluation")
     report = materialize(fit_report(score(model, rows)), "fit")
     if model_path:

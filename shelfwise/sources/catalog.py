@@ -34,7 +34,7 @@ def read_catalog(
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     raw = (reader.schema(schema) if schema else reader).csv(require_path(path))
     if raw.isEmpty():
-        raise ValueError("Loaded dataset is empty")
+        raise ValueError(f"the catalog has no rows: {path}")
     df = normalize_na(ensure_id(raw) if number_rows else raw)
     casts = {c: F.col(c).try_cast(t) for c, t in CATALOG_NUMBERS.items() if c in df.columns}
     return df.withColumns(casts) if casts else df

@@ -24,5 +24,5 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict[str,
     try:
         metadata = spark.read.text(f"{path}/metadata").first()
     except AnalysisException as error:
-        raise FileNotFoundError(f"Model file not found: {path}") from error
+        raise FileNotFoundError(f"there is no model at {path}") from error
     return PipelineModel.load(f"{path}/model"), json.loads(metadata.value)

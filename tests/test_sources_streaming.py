@@ -22,7 +22,7 @@ def test_catalog_paths_and_empty_files(spark, tmp_path):
             catalog.read_catalog(spark, bad)
     empty = tmp_path / "empty.csv"
     empty.write_text("Country,Rating\n")
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows"):
         catalog.read_catalog(spark, str(empty))
 
 
