@@ -21,7 +21,8 @@ MIXTURE = 0.6  # share of the bigram estimate in the interpolation
 ADDED = 0.5  # added to each unigram count
 BLOCK_BYTES = 8 << 20  # text bytes that ask for their counts together; a longer text is a block of its own
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-CELL = "slot int, block bigint, kind int, size bigint, keys binary, counts array<binary>"
+FAN_BITS = 8  # a block sends its grams in 2 ** FAN_BITS cells a kind; so many blocks, and then so many groups, are added up at once
+CELL = "grp bigint, slot bigint, sender bigint, kind int, size bigint, keys binary, counts array<binary>"
 
 
 def _mask(bits: int) -> np.uint64:
@@ -119,12 +120,12 @@ def _texts(payload: bytes) -> pa.RecordBatch:
 
 
 def _cells(rows: list[tuple]) -> list[pa.Array]:
-    slot, block, kind, size, keys, counts = zip(*rows) if rows else ((),) * 6
-    return [pa.array(slot, pa.int32()), pa.array(block, pa.int64()), pa.array(kind, pa.int32()), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.list_(pa.binary()))]
+    group, slot, sender, kind, size, keys, counts = zip(*rows) if rows else ((),) * 7
+    return [*(pa.array(x, pa.int64()) for x in (group, slot, sender)), pa.array(kind, pa.int32()), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.list_(pa.binary()))]
 
 
 NAMES = ["id", "n_words", "target_loss", "background_loss", "score"]
-CELL_NAMES = ["slot", "block", "kind", "size", "keys", "counts"]
+CELL_NAMES = ["grp", "slot", "sender", "kind", "size", "keys", "counts"]
 
 
 def text_blocks(docs: DataFrame, target: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
@@ -157,50 +158,117 @@ def text_blocks(docs: DataFrame, target: DataFrame, id_col: str, text_col: str,
     return rows.mapInArrow(run, "block bigint, bytes bigint, payload binary")
 
 
-def count_grams(blocks: DataFrame, bits: int, slots: int) -> DataFrame:
-    """For every block the counts over all blocks of its grams, packed by slot, in the order of its keys and without them.
+def _dealt(keys: np.ndarray, counts: np.ndarray, shift: int, bits: int) -> Iterator[tuple]:
+    """(slot, size, keys, counts) of ascending keys, packed: a cell for each value of their bits above `shift`."""
+    slots = keys >> np.uint64(shift) if shift < 64 else np.zeros(len(keys), np.uint64)
+    begins = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(keys)]):
+        yield int(slots[a]), b - a, pack_keys(keys[a:b]), [pack(c[a:b]) for c in counts]
+
+
+def _added(cells: pa.Table, kind: int) -> tuple[list[int], list[int], np.ndarray, np.ndarray, list[np.ndarray]] | None:
+    """(senders, sizes, keys of them all, place of each sender's keys among them one after another, sums) of one kind."""
+    mine = cells.filter(pc.equal(cells.column("kind"), kind)).select(["sender", "size", "keys", "counts"])
+    senders, sizes = mine.column("sender").to_pylist(), mine.column("size").to_pylist()
+    if not sizes:
+        return None
+    keys, at = np.unique(np.concatenate([unpack_keys(x.as_py(), n) for x, n in zip(mine.column("keys"), sizes)]), return_inverse=True)
+    packed = [x.as_py() for x in mine.column("counts")]
+    sums = []
+    for k in range(len(packed[0])):
+        given = np.concatenate([unpack(x[k], n) for x, n in zip(packed, sizes)])
+        sums.append(np.bincount(at, given, len(keys)).astype(np.int64))
+    return senders, sizes, keys, at, sums
 
-    A slot is a range of keys; a block sends a gram once, however often it holds it, so a hot gram is a row for each
-    block at most. Slots grow in number with the corpus and keep their size. The rows of a slot with
-    block -1, -2 and -3 have as size its number of distinct words, of all words and of the target's.
-    """
+
+def block_cells(blocks: DataFrame, bits: int, groups: int, fan_bits: int) -> DataFrame:
+    """The grams of every block with their counts, by group of blocks and slot (range of keys): a fixed number of cells a block."""
+    shift = max(bits - fan_bits, 0)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = [(i << bits) // slots for i in range(1, slots)]
-        edges = np.array(edges, np.uint64)
         for batch in batches:
-            for number, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
-                block, rows = Block(_texts(payload.as_py()), bits), []
-                for kind, keys in enumerate(block.keys):
-                    ends = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-                    for slot, (a, b) in enumerate(zip(ends, ends[1:])):
-                        if b > a:
-                            rows.append((slot, number, kind, b - a, pack_keys(keys[a:b]), [pack(c[a:b]) for c in block.counts[kind]]))
+            for group, number, payload in zip(batch.column("grp").to_pylist(), batch.column("block").to_pylist(), batch.column("payload")):
+                block = Block(_texts(payload.as_py()), bits)
+                rows = [(group, slot, number, kind, *cell) for kind in (0, 1) for slot, *cell in _dealt(block.keys[kind], block.counts[kind], shift, bits)]
                 yield pa.RecordBatch.from_arrays(_cells(rows), names=CELL_NAMES)
 
-    def add(key: tuple, cells: pa.Table) -> pa.Table:
-        rows, slot = [], key[0].as_py()
+    return blocks.select(F.pmod(F.xxhash64("block"), F.lit(groups).cast("bigint")).alias("grp"), "block", "payload").mapInArrow(ask, CELL)
+
+
+def answer_cells(cells: DataFrame, bits: int, groups: int, fan_bits: int, tasks: int, level: int = 1) -> DataFrame:
+    """For every cell the counts over all senders of its grams, in the order of its keys and without them.
+
+    The cells of one group and slot are added up together. Where there are several groups, their sums are senders in
+    turn: in groups of groups, and in slots of as many finer ranges, so that a cell keeps its size and a task its load
+    however large the corpus is. `tasks` is the number of blocks, so that a task gets about a block's grams. What comes back is handed on to the senders by the places of their keys. A gram that
+    every block holds is a number in a cell of each; its sums are made by group, then by group of groups.
+
+    The rows with sender -1, -2 and -3 have as size a slot's number of distinct words, of all words and of the target's.
+    """
+
+    def final(key: tuple, given: pa.Table) -> pa.Table:
+        rows, (group, slot) = [], (k.as_py() for k in key)
         for kind in (0, 1):
-            mine = cells.filter(pc.equal(cells.column("kind"), kind)).select(["block", "size", "keys", "counts"])
-            numbers, sizes = mine.column("block").to_pylist(), mine.column("size").to_pylist()
-            if not sizes:
+            if (added := _added(given, kind)) is None:
                 continue
-            keys, at = np.unique(np.concatenate([unpack_keys(x.as_py(), n) for x, n in zip(mine.column("keys"), sizes)]), return_inverse=True)
-            packed = [x.as_py() for x in mine.column("counts")]
-            totals = []
-            for k in range(len(packed[0])):
-                given = np.concatenate([unpack(x[k], n) for x, n in zip(packed, sizes)])
-                totals.append(np.bincount(at, given, len(keys)).astype(np.int64))
+            senders, sizes, _, at, sums = added
             if not kind:
-                sums = int((totals[0] > 0).sum()), int(totals[0].sum()), int(totals[1].sum())
-                rows += [(slot, -1 - i, 0, n, b"", []) for i, n in enumerate(sums)]
+                every = int((sums[0] > 0).sum()), int(sums[0].sum()), int(sums[1].sum())
+                rows += [(group, slot, -1 - i, 0, n, b"", []) for i, n in enumerate(every)]
+            begin = 0
+            for sender, n in zip(senders, sizes):
+                own, begin = at[begin : begin + n], begin + n
+                rows.append((group, slot, sender, kind, n, b"", [pack(t[own]) for t in sums]))
+        return pa.Table.from_arrays(_cells(rows), names=CELL_NAMES)
+
+    dealt = cells.repartition(tasks, "grp", "slot").groupBy("grp", "slot")
+    if groups == 1:
+        return dealt.applyInArrow(final, CELL)
+
+    shift, above = max(bits - fan_bits * (level + 1), 0), -(-groups >> fan_bits)
+
+    def merge(key: tuple, given: pa.Table) -> pa.Table:
+        """The sums as a cell with sender -1, and for each sender the places of its keys in it, as its keys."""
+        rows, (group, slot) = [], (k.as_py() for k in key)
+        for kind in (0, 1):
+            if (added := _added(given, kind)) is None:
+                continue
+            senders, sizes, keys, at, sums = added
+            rows.append((group, slot, -1, kind, len(keys), pack_keys(keys), [pack(t) for t in sums]))
             begin = 0
-            for number, n in zip(numbers, sizes):
+            for sender, n in zip(senders, sizes):
                 own, begin = at[begin : begin + n], begin + n
-                rows.append((slot, number, kind, n, b"", [pack(t[own]) for t in totals]))
+                rows.append((group, slot, sender, kind, n, pack_keys(own.astype(np.uint64)), []))
+        return pa.Table.from_arrays(_cells(rows), names=CELL_NAMES)
+
+    def onward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                counts = np.stack([unpack(c, row["size"]) for c in row["counts"]])
+                rows += [(row["above"], slot, row["grp"], row["kind"], *cell) for slot, *cell in _dealt(unpack_keys(row["keys"], row["size"]), counts, shift, bits)]
+            yield pa.RecordBatch.from_arrays(_cells(rows), names=CELL_NAMES)
+
+    def hand_back(key: tuple, asked: pa.Table, answers: pa.Table) -> pa.Table:
+        rows, (group, slot) = [], (k.as_py() for k in key)
+        answers = answers.sort_by([("fine", "ascending")])
+        for kind in (0, 1):
+            mine = answers.filter(pc.equal(answers.column("kind"), kind))
+            sizes, packed = mine.column("size").to_pylist(), mine.column("counts").to_pylist()
+            sums = [np.concatenate([unpack(x[k], n) for x, n in zip(packed, sizes)]) for k in range(len(packed[0]) if packed else 0)]
+            for row in asked.filter(pc.equal(asked.column("kind"), kind)).to_pylist():
+                own = unpack_keys(row["keys"], row["size"]).astype(np.int64)
+                rows.append((group, slot, row["sender"], kind, row["size"], b"", [pack(t[own]) for t in sums]))
         return pa.Table.from_arrays(_cells(rows), names=CELL_NAMES)
 
-    return blocks.select("block", "payload").mapInArrow(ask, CELL).groupBy("slot").applyInArrow(add, CELL)
+    merged = materialize(dealt.applyInArrow(merge, CELL), "lm-merged")
+    higher = merged.filter("sender = -1").withColumn("above", F.pmod(F.xxhash64("grp"), F.lit(above).cast("bigint"))).mapInArrow(onward, CELL)
+    answers = materialize(answer_cells(higher, bits, above, fan_bits, tasks, level + 1), "lm-answers")
+    coarse = F.shiftrightunsigned("slot", min(max(bits - fan_bits * level, 0) - shift, 63))
+    returned = answers.filter("sender >= 0").select(F.col("sender").alias("grp"), coarse.alias("slot"), F.col("slot").alias("fine"), "kind", "size", "counts")
+    asked, returned = (d.repartition(tasks, "grp", "slot").groupBy("grp", "slot") for d in (merged.filter("sender >= 0"), returned))
+    back = asked.cogroup(returned).applyInArrow(hand_back, CELL)
+    return back.unionByName(answers.filter("sender < 0"))
 
 
 def log_chances(counts: tuple, own: tuple, own_words: np.ndarray, n_words: int, n_distinct: int) -> np.ndarray:
@@ -215,7 +283,7 @@ def log_chances(counts: tuple, own: tuple, own_words: np.ndarray, n_words: int,
 
 
 def cross_entropy_difference(
-    docs: DataFrame, target: DataFrame, bits: int = KEY_BITS, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, target: DataFrame, bits: int = KEY_BITS, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, fan_bits: int = FAN_BITS
 ) -> DataFrame:
     """id, n_words, target_loss, background_loss and score (their difference per word; lower: more like the target).
 
@@ -226,17 +294,21 @@ def cross_entropy_difference(
     ignored. Fewer `bits` than 64 make a hashed vocabulary of 2 ** bits words, whose colliding ones are added up.
 
     Every distinct word and pair is counted, in Spark tables that grow with the corpus. Texts are put together in
-    blocks; a block sends its grams with their counts, and gets the counts over all blocks back. Nothing of the corpus is broadcast; the driver gets three sums. Memory is one block of texts, or one
-    text, and one slot of keys. Texts are shuffled once as they are, and once compressed.
+    blocks; a block sends its grams with their counts, and gets the counts over all blocks back (see `answer_cells`): up
+    to 2 ** fan_bits blocks in one exchange, the square of that in two, and so on, with a fixed number of cells a block
+    in each. Nothing of the corpus is broadcast; the driver gets the number of blocks and three sums. Memory is one block
+    of texts, or one text, and the keys of one slot of one group, of about a block's size. Texts are shuffled once as
+    they are, and once compressed.
     """
     spark = docs.sparkSession
     workers_see_library(spark)
     id_type = docs.schema[id_col].dataType.simpleString()
     with _shuffles_released(spark):
         blocks = materialize(text_blocks(docs, target, id_col, text_col, block_bytes), "lm-texts")
-        slots = 1 + (blocks.agg(F.sum("bytes")).first()[0] or 0) // block_bytes
-        cells = materialize(count_grams(blocks, bits, slots), "lm-counts")
-    sums = cells.filter("block < 0").agg(*(F.sum(F.when(F.col("block") == -1 - i, F.col("size"))) for i in range(3))).first()
+        tasks = max(1, blocks.count())
+        groups = -(-tasks >> fan_bits)
+        cells = materialize(answer_cells(block_cells(blocks, bits, groups, fan_bits), bits, groups, fan_bits, tasks), "lm-counts")
+    sums = cells.filter("sender < 0").agg(*(F.sum(F.when(F.col("sender") == -1 - i, F.col("size"))) for i in range(3))).first()
     n_distinct, n_background, n_target = (int(x or 0) for x in sums)
     n_distinct = n_distinct if bits == KEY_BITS else 1 << bits
 
@@ -265,5 +337,7 @@ def cross_entropy_difference(
             out.append(pa.RecordBatch.from_arrays([rows.column("id"), pa.array(block.n.astype(np.int64)), *values], names=NAMES))
         return pa.Table.from_batches(out)
 
-    scored = blocks.select("block", "payload").groupBy("block").cogroup(cells.filter("block >= 0").groupBy("block"))
+    answers = cells.filter("sender >= 0").select(F.col("sender").alias("block"), "slot", "kind", "size", "counts")
+    texts, answers = (d.repartition(tasks, "block").groupBy("block") for d in (blocks.select("block", "payload"), answers))
+    scored = texts.cogroup(answers)
     return scored.applyInArrow(score, f"id {id_type}, n_words bigint, target_loss double, background_loss double, score double").withColumnRenamed("id", id_col)
