@@ -77,13 +77,16 @@ def job_scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
         for path in _scratch[start:]:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            delete_path(spark, path)
         del _scratch[start:]
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame below the shared folder and read it back.
 
