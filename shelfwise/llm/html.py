@@ -24,7 +24,7 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav noframes noscript ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
-HIDDEN = frozenset("script style template svg math iframe object canvas audio video".split())
+HIDDEN = frozenset("script style template".split())
 # Elements and words of class, id and role names that stand for an article, or for what surrounds it.
 ARTICLE_TAGS = frozenset("article main".split())
 ARTICLE_NAMES = frozenset("article articlebody main content post entry story".split())
@@ -33,6 +33,9 @@ AROUND_NAMES = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies footer gdpr header login masthead menu menus modal nav navbar "
     "navigation newsletter notice notices pagination popup promo promotion related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Prefixes that say what a page has or lacks beside the element: "with-sidebar" is no sidebar.
+MODIFIERS = re.compile(r"(?:has|have|with|no|without|show|hide|is)[-_]")
+SENTENCE_ENDS = ".!?…\"”»"
 CLOSED_BY_SAME = frozenset("li dt dd tr td th option p".split())
 
 
@@ -41,6 +44,8 @@ class Block(NamedTuple):
     tags: tuple[str, ...]  # open elements, outermost first
     names: frozenset  # words of their class, id and role
     linked: int  # signs inside links
+    near: frozenset = frozenset()  # tags (in brackets) and names of ancestors that stand for what surrounds an article
+    path: tuple[int, ...] = ()  # numbers of the open elements in the page
 
 
 class _Reader(HTMLParser):
@@ -49,7 +54,8 @@ class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, frozenset]] = []
+        self.open: list[tuple[str, frozenset, int]] = []
+        self.signs: list[frozenset] = []  # of each element, as in Block.near
         self.parts: list[str] = []
         self.linked = 0
         self.links = self.hidden = 0
@@ -58,12 +64,12 @@ class _Reader(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            tags, names = zip(*self.at) if self.at else ((), ())
-            self.blocks.append(Block(text, tags, frozenset().union(*names), self.linked))
+            tags, names, path = zip(*self.at) if self.at else ((), (), ())
+            self.blocks.append(Block(text, tags, frozenset().union(*names), self.linked, frozenset(), path))
         self.parts, self.linked = [], 0
 
     def _pop(self, depth: int) -> None:
-        for tag, _ in self.open[depth:]:
+        for tag, _, _ in self.open[depth:]:
             self.links -= tag == "a"
             self.hidden -= tag in HIDDEN
         del self.open[depth:]
@@ -81,10 +87,16 @@ class _Reader(HTMLParser):
         if tag in VOID:
             return
         names: set[str] = set()
+        signs = {f"<{tag}>"} if tag in AROUND_TAGS else set()
         for key, value in attrs:
             if key in ("class", "id", "role", "itemprop") and value:
-                names.update(w for w in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()) if w)
-        self.open.append((tag, frozenset(names)))
+                for token in value.split():
+                    words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower()) if w]
+                    names.update(words)
+                    if not MODIFIERS.match(token.lower()):
+                        signs.update(AROUND_NAMES.intersection(words))
+        self.open.append((tag, frozenset(names), len(self.signs)))
+        self.signs.append(frozenset(signs) if tag not in ("html", "body") else frozenset())
         self.links += tag == "a"
         self.hidden += tag in HIDDEN
 
@@ -113,6 +125,24 @@ class _Reader(HTMLParser):
             self.linked += len(data.strip())
 
 
+def _wrappers(blocks: list[Block]) -> set[int]:
+    """Numbers of the elements around the article itself: their names say what else they hold, not what the article is.
+
+    With marked articles, those that hold the first block of one and most of the marked text; without, those that hold
+    more than four fifths of the page's text.
+    """
+    body = [b for b in blocks if "head" not in b.tags]
+    marked = [b for b in body if _inside_article(b)]
+    held: dict[int, int] = {}
+    for b in marked or body:
+        for element in b.path:
+            held[element] = held.get(element, 0) + len(b.text)
+    total = sum(len(b.text) for b in marked or body)
+    if marked:
+        return {e for e in marked[0].path if 2 * held[e] > total}
+    return {e for e, n in held.items() if 5 * n > 4 * total}
+
+
 def leaf_blocks(html: str | None) -> list[Block]:
     if not html:
         return []
@@ -120,7 +150,9 @@ def leaf_blocks(html: str | None) -> list[Block]:
     reader.feed(html)
     reader.close()
     reader.flush()
-    return reader.blocks
+    wrappers = _wrappers(reader.blocks)
+    near = lambda b: frozenset().union(*(reader.signs[e] for e in b.path if e not in wrappers))
+    return [b._replace(near=near(b)) for b in reader.blocks]
 
 
 def _inside_article(block: Block) -> bool:
@@ -128,11 +160,8 @@ def _inside_article(block: Block) -> bool:
 
 
 def _surrounds(block: Block) -> bool:
-    """Whether an ancestor's tag or name says so; a header or footer of an article itself counts for the header only."""
-    tags = set(block.tags)
-    if _inside_article(block):
-        tags.discard("header")
-    return bool(tags & AROUND_TAGS) or bool(block.names & AROUND_NAMES)
+    """Whether an ancestor's tag or name says so; a header of an article itself does not."""
+    return bool(block.near - {"<header>", "header"} if _inside_article(block) else block.near)
 
 
 def features(blocks: list[Block], masked: bool = False) -> list[list[str]]:
@@ -145,11 +174,11 @@ def features(blocks: list[Block], masked: bool = False) -> list[list[str]]:
         row += [f"named={w}" for w in b.names - (ARTICLE_NAMES if masked else frozenset())]
         if _surrounds(b):
             row.append("surrounds")
-        if not masked and _inside_article(b):
+        if not masked and _inside_article(b) and not _surrounds(b):
             row.append("article")
         if not masked and b.names & ARTICLE_NAMES:
             row.append("named article")
-        row.append("sentence" if b.text[-1] in ".!?…\"”»" else "no sentence")
+        row.append("sentence" if b.text[-1] in SENTENCE_ENDS else "no sentence")
         if b.text[0] in "©®" or "all rights" in b.text.lower():
             row.append("rights")
         if i == 0:
@@ -232,15 +261,35 @@ def train(pages: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS,
 
 
 def label_blocks(blocks: list[Block]) -> list[int] | None:
-    """Labels that a page's own marks give (an article element or property); None for a page without such marks."""
+    """Labels of a training page, None for a page that gives none.
+
+    By its own marks (an article element or property), less what surrounds. A page without marks, by its prose: of the
+    blocks that read as sentences, are no links and surround nothing, the innermost element that holds four fifths of
+    their text is the article.
+    """
     labels = [int(_inside_article(b) and not _surrounds(b)) for b in blocks]
-    return labels if any(labels) else None
+    if any(labels):
+        return labels
+    if any(_inside_article(b) for b in blocks):
+        return None
+    free = [b for b in blocks if not _surrounds(b) and "head" not in b.tags]
+    prose = [b for b in free if len(b.text.split()) >= (5 if b.text[-1] in SENTENCE_ENDS else 20) and 2 * b.linked < len(b.text)]
+    held: dict[int, int] = {}
+    for b in prose:
+        for element in b.path:
+            held[element] = held.get(element, 0) + len(b.text)
+    enough = [e for e, n in held.items() if 5 * n >= 4 * sum(len(b.text) for b in prose)]
+    if not enough:
+        return None
+    return [int(max(enough) in b.path and not _surrounds(b)) for b in blocks]  # inner elements have larger numbers
 
 
 def interleave(blocks: list[Block], labels: list[int]) -> tuple[list[Block], list[int]]:
     """The page with what surrounds its article dealt in between the article's blocks, inside the article's elements,
     and once more after the article, there and every other time inside as paragraphs."""
     inner, outer = ([b for b, y in zip(blocks, labels) if y == k] for k in (1, 0))
+    if not any(t in ARTICLE_TAGS for t in inner[0].tags):
+        return blocks, labels
     path = inner[0].tags[: next((i + 1 for i, t in enumerate(inner[0].tags) if t in ARTICLE_TAGS), 0)]
     around = [b for b in outer if _surrounds(b) and "head" not in b.tags]
     own = lambda b: tuple(t for t in b.tags if t not in ("html", "body"))
@@ -254,7 +303,7 @@ def interleave(blocks: list[Block], labels: list[int]) -> tuple[list[Block], lis
 
 
 def learn_field(pages: DataFrame, rows: int = TRAINING_PAGES, id_col: str = "page_id", html_col: str = "html") -> Field:
-    """A field trained on about `rows` pages, chosen by a hash of the id, that mark their own article.
+    """A field trained on about `rows` pages, chosen by a hash of the id (see `label_blocks`).
 
     The sample is bounded, so its features may come to the driver. Without labelled pages the prior stands.
     """
