@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import decontamination, neardup, packing, quality, toxicity
 from shelfwise.llm.common import table
-from shelfwise.session import materialize
+from shelfwise.session import delete_path, job_scratch, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is a Parquet table in the shared folder that the next stage reads."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over `documents`; each result is a Parquet table in the shared folder that the next stage reads.
+
+    What a stage put beside its result is deleted when the result is written, and the result when the next one is; the
+    last one stays.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with job_scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.schema(found.schema).parquet(path), path
     return docs
