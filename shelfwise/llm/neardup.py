@@ -18,7 +18,7 @@ REGISTER_BITS = 7  # 128 registers
 MANTISSA_BITS = 18  # kept below the leading zeros, of which there are at most 57: 6 bits
 BAND = 2  # registers of a band
 SIGMAS = 4.5  # margin of the sketch filters: a pair at the threshold is missed about 3 times in a million
-BLOCK = 256  # members of a bucket that are compared at once
+BLOCK = 512  # members of a bucket that are compared with as many others at once
 FINE = 1024  # one-byte registers by which members of one bucket are compared
 EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -226,15 +226,15 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {id_type}, b {id_type}")
 
 
-def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(id, component) for every end of an edge: the smallest id reachable.
 
-    Labels fall to the least of the neighbours and then to their label's own label, so long chains halve. Every round
-    is a table in the shared folder; only a count of changes comes to the driver.
+    Labels fall to the least of the neighbours and then to their label's own label, so long chains halve, until nothing
+    changes. Every round is a table in the shared folder; only whether there was a change comes to the driver.
     """
     both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{name}-edges")
     labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), name)
-    for _ in range(max_rounds):
+    while True:
         offered = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("c")), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("c"))
         lower = labels.join(offered, "id").select("id", F.col("component").alias("old"), F.least("component", "c").alias("component"))
         lower = materialize(lower, name)
@@ -243,29 +243,51 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
         if labels.filter("old <> component").limit(1).count() == 0:
             return labels.select("id", "component")
         labels = labels.select("id", "component")
-    raise RuntimeError("components have not settled")
+
+
+def bucket_meetings(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members by block, meetings of blocks) of the buckets whose members (id, n, token, component) are not all linked.
+
+    A component with BLOCK members or more in a bucket has blocks of its own, the smaller ones share blocks. Two blocks of
+    one component never meet. So one text that is apart from a large group meets each of the group's blocks once, and the
+    group's blocks do not meet each other.
+    """
+    sizes = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
+    mixed = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("parts"), F.sum(F.when(F.col("size") < BLOCK, F.col("size"))).alias("pooled")).filter("parts > 1")
+    sizes = materialize(sizes.join(mixed.select("token", "pooled"), "token"), "bucket-parts")
+    count = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    large = sizes.filter(F.col("size") >= BLOCK).select("token", F.col("component").alias("owner"), count("size").alias("blocks"))
+    shared = sizes.filter(F.col("size") < BLOCK).groupBy("token").agg(F.first("pooled").alias("pooled")).select("token", F.lit(None).cast(sizes.schema["component"].dataType).alias("owner"), count("pooled").alias("blocks"))
+    every = large.union(shared).select("token", "owner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("number"))
+    every = every.select("token", "owner", F.xxhash64("owner", "number").alias("block"))
+    one, two = every.alias("one"), every.alias("two")
+    apart = F.col("one.owner").isNull() | F.col("two.owner").isNull() | (F.col("one.owner") != F.col("two.owner"))
+    met = one.join(two, (F.col("one.token") == F.col("two.token")) & (F.col("one.block") <= F.col("two.block")) & apart)
+    met = materialize(met.select("one.token", F.col("one.block").alias("low"), F.col("two.block").alias("high")), "meetings")
+    big = F.col("size") >= BLOCK
+    number = F.when(big, F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK))).otherwise(F.pmod(F.xxhash64("component"), F.ceil(F.col("pooled") / BLOCK))).cast("int")
+    members = placed.join(sizes, ["token", "component"]).select("id", "n", "token", "component", F.xxhash64(F.when(big, F.col("component")), number).alias("block"))
+    return members, met
 
 
 def cross_pairs(index: DataFrame, centres: DataFrame, labels: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of one bucket and different components that the sketches cannot rule out.
 
     Pairs with the bucket's centre have been judged. A bucket whose other members are all linked already gives nothing,
-    however large. Another is cut into blocks; each two blocks meet in a task that compares registers as arrays and
-    emits only likely pairs, so no pair is a joined row. Of the buckets that two texts share, the one of the least token
-    emits them.
+    however large. Of others, blocks of members meet (see `bucket_meetings`), each two in a task that compares registers
+    as arrays and emits only likely pairs, so no pair is a joined row. Of the buckets that two texts share, the one of
+    the least token emits them.
     """
     id_type = index.schema["id"].dataType.simpleString()
     placed = index.join(centres.select("token", F.col("centre.id").alias("c")), "token").filter("id <> c").select("id", "n", "token")
     placed = placed.join(labels, "id", "left").select("id", "n", "token", F.coalesce("component", "id").alias("component"))
-    placed = materialize(placed, "placed")
-    mixed = placed.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    mixed = materialize(mixed.select("token", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "mixed")
-    meets = placed.join(mixed, "token")
-    tokens_of = meets.groupBy("id").agg(F.collect_set("token").alias("tokens"))  # at most as many as bands
-    members = meets.join(sketches.join(tokens_of, "id"), "id")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    members = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("id", "n", "component", "fine", "tokens", "token", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    placed, met = bucket_meetings(materialize(placed, "placed"))
+    placed = materialize(placed, "members")
+    tokens_of = placed.groupBy("id").agg(F.collect_set("token").alias("tokens"))  # at most as many as bands
+    sides = met.select("token", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"), F.struct("low", "high").alias("met"))
+    sides = sides.groupBy("token", "block").agg(F.collect_list("met").alias("met"))  # one for each block that it meets
+    members = placed.join(sides, ["token", "block"]).join(sketches.join(tokens_of, "id"), "id")
+    members = members.select("id", "n", "component", "fine", "tokens", "token", "block", F.inline("met"))
     meeting = ["token", "low", "high"]
     members = members.repartition(*meeting).sortWithinPartitions(*meeting)
     id_kind = pa.int64() if id_type == "bigint" else pa.int32()
