@@ -16,7 +16,7 @@ BLOCK_CHARS = 4_000_000  # test text that is sent to the workers at once; a larg
 SHARD_BYTES = 1 << 20  # training text of one suffix array, or one text
 LEAD = 3  # words by which places are chosen for the suffix array
 
-_RESULT = "n_words bigint, runs array<struct<begin:int,end:int>>, items array<string>, longest int, longest_at int, longest_item string, text_digest bigint"
+_RESULT = "n_words bigint, runs array<struct<begin:int,end:int>>, items array<string>, longest int, longest_at int, longest_item string"
 
 
 class TestSet(NamedTuple):
@@ -157,24 +157,40 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int)
         yield [r["item"] for r in rows], [r["text"] for r in rows]
 
 
-def _matched(docs: DataFrame, tests: TestSet, window: int, text_col: str, columns: list[str]) -> DataFrame:
-    """The named columns of the documents, and the matches with one block of tests."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(tests)
+def _in_turn(sent: list) -> Iterator[TestSet]:
+    """The blocks of tests one after another; of several, a worker holds one at a time and reads the next from its disk."""
+    for block in sent:
+        yield block.value if len(sent) == 1 else block.load_from_path(block._path) if block._path else block.value
+
+
+def _united(found: list[list[tuple]]) -> list[tuple]:
+    """What the blocks found in each text, together: all runs and items, and the longest match, the first one of equal length."""
+    if len(found) == 1:
+        return found[0]
+    texts = []
+    for parts in zip(*found):
+        matched = [p for p in parts if p[4] is not None]
+        best = max(matched, key=lambda p: (p[3], -p[4], p[5]), default=parts[0])
+        texts.append((parts[0][0], [r for p in parts for r in p[1]], [i for p in parts for i in p[2]], *best[3:]))
+    return texts
+
+
+def _matched(docs: DataFrame, sent: list, window: int, text_col: str, columns: list[str]) -> DataFrame:
+    """The named columns of the documents, and the matches with all blocks of tests. The documents are read once."""
     kinds = ", ".join(f"`k{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns))
     result = pa.schema([
         ("n_words", pa.int64()), ("runs", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string())),
-        ("longest", pa.int32()), ("longest_at", pa.int32()), ("longest_item", pa.string()), ("text_digest", pa.int64()),
+        ("longest", pa.int32()), ("longest_at", pa.int32()), ("longest_item", pa.string()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SHARD_BYTES):
-            found = match_shard(part.column("text"), sent.value, window)
+            found = _united([match_shard(part.column("text"), tests, window) for tests in _in_turn(sent)])
             made = [pa.array(c, f.type) for c, f in zip(zip(*found), result)]
             kept = [part.column(f"k{i}") for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*kept, *made, part.column("digest")], names=[*(f"k{i}" for i in range(len(columns))), *result.names])
+            yield pa.RecordBatch.from_arrays([*kept, *made], names=[*(f"k{i}" for i in range(len(columns))), *result.names])
 
-    rows = docs.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(columns)), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("digest"))
+    rows = docs.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(columns)), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"{kinds}, {_RESULT}")
 
 
@@ -204,24 +220,15 @@ def find_contamination(
     Repeated documents are judged each, repeated items name one item. An empty test set contaminates nothing. Columns
     in `keep` (the id, if not given) are carried along; other columns are ignored, whatever their names.
 
-    The training texts are not shuffled: each shard makes its suffix array and is searched for all test suffixes of a
-    block. Several blocks (a test set above `block_chars`) read the texts once each, and only runs of hit words meet.
+    The training texts are read once and not shuffled: each shard makes its suffix array and is searched for all test
+    suffixes, block after block where the test set is above `block_chars`. The driver and a worker hold one block each.
     """
-    workers_see_library(docs.sparkSession)
+    spark = docs.sparkSession
+    workers_see_library(spark)
     keep = [id_col] if keep is None else keep
-    parts = [_matched(docs, prepare_tests(names, texts, window), window, text_col, keep) for names, texts in _blocks(benchmark, item_col, item_text_col, block_chars)]
+    sent = [spark.sparkContext.broadcast(prepare_tests(names, texts, window)) for names, texts in _blocks(benchmark, item_col, item_text_col, block_chars)]
     carried = [f"k{i}" for i in range(len(keep))]
-    matched = parts[0]
-    if len(parts) > 1:
-        for part in parts[1:]:
-            matched = matched.unionByName(part)
-        best = F.struct("longest", (-F.col("longest_at")).alias("at"), "longest_item")
-        matched = (
-            matched.groupBy(*carried, "n_words", "text_digest")
-            .agg(F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("items")).alias("items"), F.max(best).alias("best"), F.count(F.lit(1)).alias("copies"))
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("copies") / len(parts)).cast("int"))))
-            .select(*carried, "n_words", "runs", "items", F.col("best.longest"), (-F.col("best.at")).alias("longest_at"), "best.longest_item")
-        )
+    matched = _matched(docs, sent, window, text_col, keep)
     judged = _judged(matched)
     return judged.select(
         *(F.col(k).alias(c) for k, c in zip(carried, keep)),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import slices, workers_see_library
 from shelfwise.llm.tokens import ByteLevelEncoder, made_once
+from shelfwise.operators.ordering import running_total
 from shelfwise.session import materialize
 
 SALTS = 4096  # parts into which the pieces of one length are dealt to number them; a hot length spreads over all tasks
@@ -151,9 +152,8 @@ def place(pieces: DataFrame, plan: list[tuple[tuple[int, ...], int]], id_col: st
 
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(salts)).cast("int"))
     each = Window.partitionBy("length", "salt").orderBy(id_col, "piece", "start", "ids_crc32")
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    counts = running_total(counts, ["salt"], "n", "upto", ["length"]).select("length", "salt", (F.col("upto") - F.col("n")).alias("base"))
     ranked = salted.withColumn("own", F.row_number().over(each) - 1).join(counts, ["length", "salt"])
     ranked = ranked.select(id_col, "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("own")).alias("rank"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfwise.llm import chat, common, decontamination, html, language, neardup, packing, quality, queries, scoring, tokens, toxicity
+from shelfwise.session import materialize
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -211,23 +212,30 @@ def test_ablations_follow_from_the_ledger(spark):
 
 def test_toxicity_automaton_equals_edit_distance():
     def distance(a, b):
-        row = list(range(len(b) + 1))
+        """Insertions, deletions, replacements and swaps of neighbours, each place edited once."""
+        rows = [list(range(len(b) + 1))]
         for i, x in enumerate(a, 1):
-            row, before = [i], row
+            row = [i]
             for j, y in enumerate(b, 1):
-                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
-        return row[-1]
+                row.append(min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (x != y)))
+                if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                    row[-1] = min(row[-1], rows[-2][j - 2] + 1)
+            rows.append(row)
+        return rows[-1][-1]
 
-    terms = [toxicity.Term(t, s) for t, s in (("idiot", False), ("idiom", False), ("scum", False), ("worthless", False), ("lowei", True), ("bad", True))]
+    terms = [toxicity.Term(t, s) for t, s in (("idiot", False), ("idiom", False), ("scum", False), ("worthless", False), ("lowei", True), ("bad", True), ("kloo", True))]
     automaton = toxicity.LexiconAutomaton(terms)
     random.seed(1)
-    words = ["idiot", "idoit", "idi0t", "idiots", "scumm", "lowe", "loweiss", "lovei", "badly", "bd", ""]
+    words = ["idiot", "idoit", "idi0t", "idiots", "scumm", "lowe", "loweiss", "lovei", "badly", "bd", "", "scm", "wrothless", "wurthles", "owrthlses", "loewi", "loewiss"]
     words += ["".join(random.choices("idotmscuwrhlebav", k=random.randint(1, 9))) for _ in range(3000)]
     for t in terms:
         for _ in range(200):
             w = list(t.text)
             for _ in range(random.randint(0, 2)):
                 w[random.randrange(len(w))] = random.choice(["", "a", "xy", "o"])
+                if random.random() < 0.5:
+                    k = random.randrange(len(w) - 1)
+                    w[k], w[k + 1] = w[k + 1], w[k]
             words.append("".join(w))
     for word in words:
         expected = {}
@@ -239,13 +247,35 @@ def test_toxicity_automaton_equals_edit_distance():
 
 
 def test_toxicity_tells_quoting_from_abuse():
-    model = toxicity.ToxicityModel([toxicity.Term("idiot", False, 6.0, 2.0)], (-4.0, 1.0, 0.4, 0.0, 0.0))
+    model = toxicity.ToxicityModel([toxicity.Term("idiot", False, (6.0, 2.0, 0.0))], (-4.0, 1.0, 0.4, 0.0, 0.0))
     automaton = toxicity.LexiconAutomaton(model.terms)
     score = lambda text: model.score(*toxicity.find_hits(automaton, text))
     assert score("You are such an idiot and you know it") > 0.7 > score('The report said the word "idiot" was used twice')
     assert score("a fine day") < score("what an idiiot he is") < score("what an idiot he is")
 
 
+def test_toxicity_catches_misspellings(spark):
+    """One edit from four letters on, two from eight, swaps of neighbours as one; a hit at each distance weighs what it is seen to say."""
+    fine = [(f"w{i} a fine day for some of you now w{i} there", False) for i in range(60)]
+    abuse = [(f"w{i} you {w} of {v} now w{i}", True) for i, (w, v) in enumerate([("scum", "idiot"), ("worthless", "scum"), ("idiot", "worthless")] * 12)]
+    slips = [(f"w{i} you {w} there w{i}", True) for i, w in enumerate(["idoit", "scumm", "wrothless", "wurthles", "scm", "idiott"])]
+    model = toxicity.learn_model(spark.createDataFrame([*fine, *abuse, *slips], "text string, toxic boolean"))
+    assert {t.text[:4] for t in model.terms} == {"scum", "idio", "wort"}, model.terms
+    automaton = toxicity.LexiconAutomaton(model.terms)
+    score = lambda w: model.score(*toxicity.find_hits(automaton, f"well you {w} over there"))
+    for word in ("idoit", "iidiot", "scumm", "scm", "wrothless", "wurthles", "worhtlses", "scmu"):
+        assert score(word) > 0.5 > score("friend"), (word, model.terms)
+
+
+def test_window_weights_are_fitted(spark):
+    """Where address goes with quoting in the labels, its weight turns round; without quotations weights stay where they start."""
+    term = [toxicity.Term("idiot", False, (6.0, 2.0, 0.0))]
+    rows = [({(0, 0, 4): 1}, 9, 0)] * 40 + [({(0, 0, 0): 1}, 9, 1)] * 40 + [({(0, 0, 1): 1}, 9, 0)] * 20
+    marks, reports, address = toxicity.fit_window(rows, term)
+    assert address > 0.7 and marks > 1.5 and reports == pytest.approx(0.7)
+    assert toxicity.fit_window([], term) == toxicity.WINDOW_PRIOR
+
+
 def test_toxicity_learns_from_like_texts_but_not_from_copies(spark):
     """The same two neighbours in every text; texts apart from each other count, copies don't."""
     fine = [(f"w{i} a fine day w{i}", False) for i in range(60)]
@@ -330,6 +360,42 @@ def test_html_query_and_other_layouts(spark):
         assert r["text"] == "\n".join(b for b in blocks if b)
 
 
+ARTICLE = ["Head of it", "First paragraph of the article, with a stop.", "Energy is E=mc2 here, and fallback text.", "Last words of the article end here."]
+INNER = """<h1>Head of it</h1><p>First paragraph of the <b>article</b>, with a stop.</p>
+<p>Energy is <math><mi>E</mi><mo>=</mo><mi>mc</mi><mn>2</mn></math> here, and <object data=x>fallback text</object>.</p><p>Last words of the article end here.</p>"""
+AROUND = '<nav><a href=/>Home</a></nav><div class="ad">Buy this now, it is good.</div>', '<div id="comments"><p>What a nice post that was, thanks.</p></div><div class="sidebar">Popular</div><footer>&copy; us</footer>'
+
+
+@pytest.mark.parametrize("trained", [True, False])
+@pytest.mark.parametrize("wrap", [
+    "<body class='has-sidebar'>{0}<article>%s</article>{1}</body>", "<body class='has-sidebar comments'>{0}<div class='content with-sidebar'><article>%s</article></div>{1}",
+    "<body>{0}<div id='sidebar-page' class='comments-open'><main>%s</main></div>{1}", "<html class='no-ads'><body>{0}<form class='search'><article>%s</article></form>{1}",
+    "<body>{0}<article><header class='entry-header'><p>Head of it</p></header>%s<section class='comments'><p>What a fine text this is, I say.</p></section></article>{1}",
+    "<body>{0}<article>%s</article><div id='comments'><article class='comment'><p>What a nice post that was, thanks.</p></article></div>{1}",
+])
+def test_no_word_of_an_article_is_lost(spark, wrap, trained):
+    field = html.learn_field(common.table(spark, SF, "pages")) if trained else html.PRIOR
+    page = wrap.format(*AROUND) % (INNER if "entry-header" not in wrap else INNER.replace("<h1>Head of it</h1>", ""))
+    assert html.main_text(field, f"<html><head><title>T</title></head>{page}").split("\n") == ARTICLE
+
+
+@pytest.mark.parametrize("wrap", ["<body>{0}<div id='content'>%s</div>{1}", "<body>{0}<div class='page with-sidebar'><div>%s</div></div>{1}", "<body class='no-comments'>{0}<table><tr><td>%s</td></tr></table>{1}"])
+def test_pages_without_an_article_element(spark, wrap):
+    """Labelled by their prose, learnt from, and extracted whole."""
+    given = common.table(spark, SF, "pages").withColumn("html", F.regexp_replace("html", "<(/?)article>", "<$1div>"))
+    plain = {r["page_id"]: r["text"] for r in html.extract(common.table(spark, SF, "pages"), html.learn_field(common.table(spark, SF, "pages"))).collect()}
+    field = html.learn_field(given)
+    assert len(field.weights) > len(html.PRIOR.weights)  # something was learnt
+    found = html.extract(given, field).collect()
+    lost = [r["page_id"] for r in found if set(plain[r["page_id"]].split()) - set(r["text"].split())]
+    assert not lost
+    assert html.main_text(field, f"<html><head><title>T</title></head>{wrap.format(*AROUND) % INNER}").split("\n") == ARTICLE
+
+
+def test_ties_go_to_what_is_left_out():
+    assert html.decode(html.Field({}, ((0.0, 0.0), (0.0, 0.0))), [["x"], ["y"], ["z"]]) == [0, 0, 0]
+
+
 def test_viterbi_is_the_best_path():
     random.seed(4)
     for _ in range(200):
@@ -355,7 +421,8 @@ def test_chat_round_trip_and_events(spark):
     assert found == {0: ("user", "hi!"), 1: ("assistant", "final"), 3: ("user", "next")}
 
 
-def test_scores_equal_exact_grams(spark, texts):
+@pytest.mark.parametrize("fan_bits", [1, 2, 8])  # groups of groups, and all blocks at once
+def test_scores_equal_exact_grams(spark, fan_bits, texts):
     """Unhashed words and pairs: no two of them share a count, however large the corpus."""
     docs = common.table(spark, SF, "documents")
     labels = common.table(spark, SF, "labels").filter("quality = 1")
@@ -367,7 +434,7 @@ def test_scores_equal_exact_grams(spark, texts):
     counts = [[Counter(g[k] for d, own in grams.items() if m or d in target for g in own) for k in range(3)] for m in (0, 1)]
     size, sums = len(counts[1][0]), [sum(c[0].values()) for c in counts]
     assert len(counts[1][1]) > size
-    found = scoring.cross_entropy_difference(docs, labels, block_bytes=20_000).collect()  # many blocks
+    found = scoring.cross_entropy_difference(docs, labels, block_bytes=20_000, fan_bits=fan_bits).collect()  # many blocks
     assert len(found) == len(texts)
     for r in found:
         own = grams[r["doc_id"]]
@@ -381,3 +448,98 @@ def test_scores_equal_exact_grams(spark, texts):
                 p = (a + scoring.ADDED) / (sums[model] - inside * len(own) + scoring.ADDED * size)
                 value -= np.log(scoring.MIXTURE * min(b / c if c > 0 else p, 1) + (1 - scoring.MIXTURE) * p)
             assert (loss is None and not own) or abs(loss - value / len(own)) < 1e-9
+
+
+def test_cells_a_block_do_not_grow_with_the_corpus(spark):
+    """Four times the blocks: four times the cells in every exchange, and no larger group of cells."""
+    draw = np.random.default_rng(4)
+    texts = [(i, " ".join(["the", *(f"w{int(x)}" for x in draw.zipf(1.3, 150) % 5000)])) for i in range(640)]
+
+    def measured(n):
+        rows = spark.createDataFrame(texts[:n], "doc_id bigint, text string").repartition(4)
+        blocks = materialize(scoring.text_blocks(rows, rows.filter("doc_id % 5 = 0"), "doc_id", "text", 2000), "blocks")
+        number = blocks.count()
+        groups = -(-number >> 3)
+        cells = materialize(scoring.block_cells(blocks, 64, groups, 3), "cells")
+        answers = scoring.answer_cells(cells, 64, groups, 3, 8).filter("sender >= 0").count()
+        largest = cells.groupBy("grp", "slot").agg(F.sum("size").alias("n")).agg(F.max("n")).first()[0]
+        return number, cells.count(), answers, largest
+
+    (few, cells, answers, largest), (many, more_cells, more_answers, larger) = measured(160), measured(640)
+    assert many > 3.5 * few > 100
+    assert answers == cells <= 16 * few and more_answers == more_cells <= 16 * many
+    assert larger < 2.5 * largest
+
+
+@pytest.mark.parametrize("outsiders", [1, 30])
+def test_an_outsider_meets_each_block_of_a_linked_group_once(spark, outsiders):
+    """Rows of members laid out grow with the group, not with its square; every pair of different components still meets."""
+
+    def laid_out(n):
+        rows = [(i, 50, 7, 0) for i in range(n)] + [(10**6 + i, 50, 7, 10**6 + i) for i in range(outsiders)] + [(i, 50, 8, 0) for i in range(n)]
+        members, met = neardup.bucket_meetings(spark.createDataFrame(rows, "id bigint, n bigint, token bigint, component bigint"))
+        assert members.filter("token = 8").count() == 0  # all linked: nothing to compare
+        sides = met.select("token", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+        together = members.join(sides, ["token", "block"]).cache()
+        one, two = (together.select("low", "high", F.col("id").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
+        pairs = one.join(two, ["low", "high"]).filter("ca < cb").select("a", "b").distinct().count()
+        assert pairs == n * outsiders + outsiders * (outsiders - 1) // 2
+        return together.count()
+
+    few, many = laid_out(1000), laid_out(4000)
+    assert few < 3 * 1000 + 100 * outsiders and many < 4.6 * few
+
+
+def test_long_chains_settle(spark):
+    edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {r["component"] for r in neardup.components(edges).collect()} == {0}
+
+
+def test_a_large_test_set_reads_the_documents_once(spark):
+    docs, benchmark = common.table(spark, SF, "documents"), common.table(spark, SF, "benchmark")
+    one, several = (decontamination.find_contamination(docs, benchmark, block_chars=n) for n in (10**7, 5000))
+    assert sorted(map(str, one.collect())) == sorted(map(str, several.collect()))
+    plan = several._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    assert several.filter("contaminated").count() > 0
+
+
+def test_language_models_equal_a_plain_kneser_ney(spark):
+    """Interpolated Kneser-Ney by dictionaries, character by character, on texts that are and are not learnt from."""
+    draw = random.Random(8)
+    learnt = {lang: [" ".join("".join(draw.choices(signs, k=draw.randint(1, 7))) for _ in range(40)) for _ in range(6)] for lang, signs in (("aa", "abcdeé"), ("bb", "cdefgh"))}
+    rows = spark.createDataFrame([(lang, t) for lang, texts in learnt.items() for t in texts], "lang string, text string")
+    model = language.learn_model(rows)
+    n, signs = language.ORDER, {c for texts in learnt.values() for t in texts for c in " " + t}
+    floor = 1 / (len(signs) + 1)
+
+    def plain(texts):
+        grams = [Counter() for _ in range(n + 1)]
+        for t in texts:
+            t = " " * (n - 1) + t
+            grams[n].update(t[i : i + n] for i in range(len(t) - n + 1))
+        for k in range(n - 1, 0, -1):  # how many signs each shorter one follows
+            grams[k].update(g[1:] for g in grams[k + 1])
+        totals, kinds = ([Counter() for _ in range(n + 1)] for _ in range(2))
+        for k in range(1, n + 1):
+            for g, c in grams[k].items():
+                totals[k][g[:-1]] += c
+                kinds[k][g[:-1]] += 1
+
+        def chance(g):
+            lower = chance(g[1:]) if len(g) > 1 else floor
+            k, before = len(g), g[:-1]
+            if not totals[k][before]:
+                return lower
+            return (max(grams[k][g] - language.DISCOUNT, 0) + language.DISCOUNT * kinds[k][before] * lower) / totals[k][before]
+
+        return chance
+
+    asked = [learnt["aa"][0], learnt["bb"][3], "abc fgh", "zz", "a", "é g"]
+    found, _, _ = language.mean_chances(model, asked)
+    for column, lang in enumerate(model.languages):
+        chance = plain(learnt[lang])
+        for t, row in zip(asked, found):
+            padded = " " * (n - 1) + t
+            expected = np.mean([np.log(chance(padded[i : i + n])) for i in range(len(t))])
+            assert row[column] == pytest.approx(expected, abs=2e-5), (lang, t)

@@ -42,3 +42,23 @@ def test_pipeline_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_leaves_its_result_only(spark, tmp_path, monkeypatch):
+    """And takes odd texts and clashing column names: a stage returns the columns that it got."""
+    import os
+
+    from shelfwise import session
+
+    folder = str(tmp_path / "shared")
+    os.makedirs(folder)
+    monkeypatch.setattr(session, "shared_dir", lambda _: folder)
+    given = tmp_path / "sf"
+    docs = table(spark, SF, "documents").selectExpr("doc_id", "text", "lang", "source", "n_chars", "1 AS id", "'x' AS score", "2 AS length", "'k' AS kept", "3L AS n", "'t' AS token")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, " \n"), (-4, "w " * 30_000), (None, "no id " * 20), (-4, "w " * 30_000), (-5, "ß漢😀 " * 40)], "doc_id bigint, text string")
+    docs.unionByName(odd, allowMissingColumns=True).write.parquet(str(given / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        table(spark, SF, name).write.parquet(str(given / f"{name}.parquet"))
+    found = corpus_pipeline.run(spark, str(given))
+    assert found.count() > 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(found.columns)
+    assert [n.rsplit("-", 1)[0] for n in os.listdir(folder)] == ["pipeline-packing"]
