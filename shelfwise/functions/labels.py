@@ -52,7 +52,7 @@ def budget_labels(labels: Column, build_number: str = "unknown", limit: int = LA
     """What a store with room for ``limit`` labels takes (``stored``) and what it does not (``overflow``).
 
     Nothing is lost: above the limit the essential labels are stored and all given ones are the overflow. Tables have
-    no such limit, so the registry keeps all labels and does not call this.
+    no such limit, so the registry keeps all labels; ``for_limited_store`` hands them on.
     """
     essential = {**READY, "build-id": build_number, "environment": ENVIRONMENT}
     pairs = [F.lit(part) for item in essential.items() for part in item]

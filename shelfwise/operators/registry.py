@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.labels import (
-    decode_metric_label, literal_map, merge_labels, promotion_labels,
+    LABEL_LIMIT, budget_labels, decode_metric_label, literal_map, merge_labels, promotion_labels,
 )
 from shelfwise.operators.ordering import number_rows
 from shelfwise.session import materialize
@@ -228,3 +228,12 @@ def promote_models(
             F.col("carried").alias("metadata"),
         )
     )
+
+
+def for_limited_store(registry: DataFrame, build_number: str = "unknown", limit: int = LABEL_LIMIT) -> DataFrame:
+    """The registry as a store with room for ``limit`` labels an entry takes it.
+
+    ``labels`` is what such a store gets, ``label_overflow`` what has to be kept in a table beside it; nothing is lost.
+    """
+    split = registry.withColumn("__split", budget_labels(F.col("labels"), build_number, limit))
+    return split.withColumns({"labels": F.col("__split.stored"), "label_overflow": F.col("__split.overflow")}).drop("__split")

@@ -1,8 +1,8 @@
-"""As-of joins that never hold a key in one task.
+"""As-of joins and rolling sums that never hold a key in one task.
 
 Rows are range-partitioned by key and time, so a key with most of the rows is
 cut into many slices. What a slice needs from earlier slices of its key is one
-row, which is carried over.
+row, which is carried over. Rolling sums are differences of running totals.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.ordering import running_total
 from shelfwise.session import materialize
 
 _AT, _SIDE, _SALT, _LEFT, _RIGHT, _SLICE, _CARRY = "__at", "__side", "__salt", "__left", "__right", "__slice", "__carry"
@@ -87,3 +88,34 @@ def as_of_join(
         *[F.col(f"{_LEFT}.l{i}").alias(c) for i, c in enumerate(left.columns)],
         *[F.when(valid, row[f"r{i}"]).alias(n) for i, n in enumerate(names)],
     )
+
+
+def rolling_sums(df: DataFrame, time: str, before: float, values: dict[str, str | Column], by: Sequence[str] = (), scale: int = 6) -> DataFrame:
+    """Add to each row the number of rows, and the sums, of its group from ``before`` earlier up to its own time.
+
+    The frame is SQL's ``RANGE BETWEEN before PRECEDING AND CURRENT ROW``: both ends count, and all rows of a moment.
+    ``before`` is in seconds for timestamps, else in the column's unit. ``values`` names the sums; ``n_rows`` counts
+    rows, ``<name>_known`` the known values of each. Sums are decimals with ``scale`` digits after the point. Rows with a
+    null time have nulls and are in no frame; a null group is a group.
+
+    A frame is the difference of two running totals, of its own moment and of the last one before its start. So no row
+    is copied into others' frames, however many there are, and a group with most of the rows spans tasks. (Differences
+    of doubles would keep the rounding of all that came before, hence decimals.)
+    """
+    unit = 1_000_000 if dict(df.dtypes)[time].startswith("timestamp") else 1
+    sums = {n: (F.col(v) if isinstance(v, str) else v).cast(f"decimal(28,{scale})") for n, v in values.items()}
+    group = F.struct(*[F.col(c) for c in by], F.lit(0).alias("_"))  # never null
+    rows = df.withColumns({"__group": group, _AT: time_number(df, time)})
+    wide = f"decimal(38,{scale})"
+    measures = {"n_rows": F.count(F.lit(1)), **{f"{n}_known": F.count(v) for n, v in sums.items()}, **{n: F.coalesce(F.sum(v), F.lit(0)).cast(wide) for n, v in sums.items()}}
+    totals = rows.filter(F.col(_AT).isNotNull()).groupBy("__group", _AT).agg(*[m.alias(f"__{n}") for n, m in measures.items()])
+    for n in measures:
+        totals = running_total(totals, [_AT], f"__{n}", f"__{n}_upto", ["__group"])
+    totals = materialize(totals, "running-totals")
+    known = totals.select("__group", F.col(_AT).alias("__at_known"), *[F.col(f"__{n}_upto").alias(f"__{n}_before") for n in measures])
+    asked = totals.withColumn("__from", F.col(_AT) - F.lit(before * unit).cast(dict(totals.dtypes)[_AT]))
+    framed = as_of_join(asked, known, ["__group"], "__from", "__at_known", [f"__{n}_before" for n in measures], exact=False)
+    inside = {n: (F.col(f"__{n}_upto") - F.coalesce(F.col(f"__{n}_before"), F.lit(0))).cast(wide if n in sums else "bigint") for n in measures}
+    frames = materialize(framed.select(F.col("__group").alias("__g"), F.col(_AT).alias("__moment"), *[c.alias(n) for n, c in inside.items()]), "frames")
+    joined = rows.join(frames, (F.col("__group") == F.col("__g")) & (F.col(_AT) == F.col("__moment")), "left")
+    return joined.select(*df.columns, *measures)

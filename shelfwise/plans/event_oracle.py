@@ -137,4 +137,14 @@ SELECT unnest(['no target', 'another target', 'no such name']) AS "case", true A
         "python_model_forms": f"""
 SELECT id, round(price_numeric * 2 + id, 6) AS by_frame, round(price_numeric * 2 + id, 6) AS by_array, round(price_numeric * 2 + id, 6) AS by_list
 FROM ({price})""",
+        "rolling_week": """
+SELECT event_id, count(*) OVER w AS n_rows, round(sum(value::DECIMAL(28,6)) OVER w / count(value) OVER w, 6)::DOUBLE AS mean
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)""",
+        "sales_cube": f"""
+SELECT Country, Type, Style, grouping_id(Country, Type, Style)::INTEGER AS level, count(*) AS n, round(sum(price_numeric), 4) AS total,
+  count(DISTINCT Grape) AS Grape_distinct, count(DISTINCT Region) AS Region_distinct, true AS ids_within_error
+FROM ({price}) GROUP BY CUBE (Country, Type, Style)""",
+        "sales_rollup": f"""
+SELECT Region, Country, Type, grouping_id(Region, Country, Type)::INTEGER AS level, count(*) AS n, max(price_numeric) AS top, count(DISTINCT Style) AS Style_distinct
+FROM ({price}) GROUP BY ROLLUP (Region, Country, Type)""",
     }

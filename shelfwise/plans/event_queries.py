@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators import cubes as C
 from shelfwise.operators import explore as E
 from shelfwise.operators import sketches as K
 from shelfwise.operators.encoding import category_table, encode_categories, one_hot_by_table
 from shelfwise.operators.features import TARGET, one_hot
 from shelfwise.operators.intervals import overlap_join, within_join
 from shelfwise.operators.model import score_python, train_rating_model
-from shelfwise.operators.temporal import as_of_join
+from shelfwise.operators.temporal import as_of_join, rolling_sums
 from shelfwise.plans import adapters as A
 from shelfwise.plans.preparation import prepare
 from shelfwise.session import materialize, scratch_path
@@ -253,3 +254,33 @@ def python_model_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     for form in ("frame", "array", "list"):
         found = score_python(found, model(form), ["price_numeric", "key"]).withColumnRenamed("prediction", f"by_{form}")
     return found.select("id", *[F.round(f"by_{form}", 6).alias(f"by_{form}") for form in ("frame", "array", "list")])
+
+
+@query
+def rolling_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean value of the last seven days by event type, at each event."""
+    events = A.table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    found = rolling_sums(events, "ts", 7 * 86_400, {"total": "value"}, ["event_type"])
+    return found.select("event_id", "n_rows", F.round(F.col("total").cast("double") / F.col("total_known"), 6).alias("mean"))
+
+
+@query
+def sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items by country, type and style and all coarser groupings: number, sum of prices, distinct grapes and regions."""
+    columns = ["Country", "Type", "Style"]
+    rows = prepare(A.items(spark, sf_dir))
+    measures = {"n": F.count(F.lit(1)), "total": F.round(F.sum("price_numeric"), 4)}
+    exact = C.totals_by(rows, columns, C.cube_sets(columns), measures, ["Grape", "Region"])
+    near = C.totals_by(rows, columns, C.cube_sets(columns), {}, ["id"], exact=False)
+    same = F.col("e.level") == F.col("s.level")
+    for c in columns:
+        same = same & F.col(f"e.{c}").eqNullSafe(F.col(f"s.{c}"))
+    both = exact.alias("e").join(near.alias("s"), same)
+    within = F.abs(F.col("id_distinct") - F.col("n")) <= K.DISTINCT_ERROR * F.col("n") + 1
+    return both.select("e.*", within.alias("ids_within_error"))
+
+
+@query
+def sales_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["Region", "Country", "Type"]
+    return C.totals_by(prepare(A.items(spark, sf_dir)), columns, C.rollup_sets(columns), {"n": F.count(F.lit(1)), "top": F.max("price_numeric")}, ["Style"])

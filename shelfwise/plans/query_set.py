@@ -429,10 +429,10 @@ def labels_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sequence(F.lit(1), (F.col("user_id") % 15 + 1).cast("int")),
         lambda i: F.struct(F.concat(F.lit("k"), i.cast("string")), F.lit("v")),
     ))
-    capped = A.table(spark, sf_dir, "events").select("event_id", L.budget_labels(many, "build-7").alias("m"))
+    capped = R.for_limited_store(A.table(spark, sf_dir, "events").select("event_id", many.alias("labels")), "build-7")
     return capped.select(
-        "event_id", F.size("m.stored").alias("n_labels"), F.col("m.stored")["environment"].alias("environment"),
-        F.size("m.overflow").alias("n_overflow"),
+        "event_id", F.size("labels").alias("n_labels"), F.col("labels")["environment"].alias("environment"),
+        F.size("label_overflow").alias("n_overflow"),
     )
 
 

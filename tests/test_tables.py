@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.operators import cubes as C
 from shelfwise.operators import explore as E
 from shelfwise.operators import sketches as K
 from shelfwise.operators.encoding import category_table, encode_categories, hash_features, one_hot_by_table
@@ -144,3 +145,30 @@ def test_training_job_records_a_failed_evaluation(spark, small, tmp_path):
     assert (record["evaluation_status"], record["test_samples"], record["quality_score"], record["target"]) == ("failed", "0", None, "Rating")
     assert record["error_message"] == str(failed.value)
     assert spark.read.json(str(tmp_path / "m" / "evaluation")).first()["evaluation_status"] == "failed"
+
+
+def test_cubes_by_hand(spark):
+    rows = [("a", "x", 1, "p"), ("a", "x", 2, "q"), ("a", None, 3, "p"), (None, "x", 4, None), (None, None, 5, "p"), ("b", "y", 6, "p")]
+    df = spark.createDataFrame(rows, "g string, h string, v int, w string")
+    for exact in (True, False):
+        found = C.totals_by(df, ["g", "h"], C.cube_sets(["g", "h"]), {"n": F.count(F.lit(1)), "s": F.sum("v")}, ["w", "g"], exact)
+        got = {(r["g"], r["h"], r["level"]): (r["n"], r["s"], r["w_distinct"], r["g_distinct"]) for r in found.collect()}
+        assert len(got) == 5 + 3 + 3 + 1
+        assert got["a", "x", 0] == (2, 3, 2, 1) and got["a", None, 0] == (1, 3, 1, 1) and got["a", None, 1] == (3, 6, 2, 1)
+        assert got[None, None, 0] == (1, 5, 1, 0) and got[None, None, 1] == (2, 9, 1, 0) and got[None, "x", 2] == (3, 7, 2, 1)
+        assert got[None, None, 3] == (6, 21, 2, 2)
+    assert [(r["level"], r["n"]) for r in C.totals_by(df, ["g", "h"], [["h"], ["h"]], {"n": F.count(F.lit(1))}).orderBy("n").collect()] == [(2, 1), (2, 2), (2, 3)]
+    with pytest.raises(ValueError, match="besides"):
+        C.totals_by(df, ["g"], [["z"]], {})
+
+
+def test_sketched_cubes_shuffle_once_and_stay_within_their_error(spark, sales):
+    found = C.totals_by(sales, ["day"], C.rollup_sets(["day"]), {"n": F.count(F.lit(1))}, ["user"], exact=False)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Expand") == 1
+    exact = {(r["day"], r["level"]): r for r in C.totals_by(sales, ["day"], C.rollup_sets(["day"]), {"n": F.count(F.lit(1))}, ["user"]).collect()}
+    rows = found.collect()
+    assert len(rows) == len(exact) == 11
+    for r in rows:
+        true = exact[r["day"], r["level"]]
+        assert r["n"] == true["n"] and abs(r["user_distinct"] - true["user_distinct"]) <= K.DISTINCT_ERROR * true["user_distinct"] + 1

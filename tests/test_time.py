@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import session
 from shelfwise.operators.intervals import overlap_join, point_join, within_join
-from shelfwise.operators.temporal import as_of_join
+from shelfwise.operators.temporal import as_of_join, rolling_sums
 from shelfwise.streaming import windows as W
 from shelfwise.streaming.monitor import monitor_drift, use_rocks
 from shelfwise.streaming.outcomes import join_outcomes
@@ -255,3 +255,34 @@ def test_sql_of_an_as_of_join_agrees(spark, hot):
     sql = con.execute("SELECT l.id, r.version FROM l ASOF LEFT JOIN (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k, t ORDER BY version DESC) = 1) r ON l.k = r.k AND l.t >= r.t").fetchall()
     found = as_of_join(lefts, rights, ["k"], "t", "t", ["version"], tie_by=["version"]).select("id", "version")
     assert rows_of(found) == sorted(((a, None if b is None or b != b else int(b)) for a, b in sql), key=str)
+
+
+def test_rolling_sums_against_brute_force(spark):
+    """Two thirds of the rows on one key, many of one moment, null keys, times and values."""
+    draw = random.Random(12)
+    rows = [
+        (i, "hot" if draw.random() < 2 / 3 else draw.choice(["a", None]), None if draw.random() < 0.02 else draw.randrange(200), None if draw.random() < 0.05 else draw.randrange(-500, 500) / 4)
+        for i in range(2500)
+    ]
+    df = spark.createDataFrame(rows, "id int, k string, t int, x double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with more data
+    try:
+        before = len(session._scratch)
+        found = {r["id"]: (r["n_rows"], r["total_known"], r["total"]) for r in rolling_sums(df, "t", 7, {"total": "x"}, ["k"]).collect()}
+        slices = [p for p in session._scratch[before:] if "/as-of-" in p][0]
+        hot = [r["count"] for r in spark.read.parquet(slices).filter("__k0.k = 'hot'").groupBy("__slice").count().collect()]
+        assert len(hot) >= 3 and max(hot) <= 2 * sorted(hot)[len(hot) // 2] + 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found) == len(rows)
+    for i, k, t, _ in rows:
+        frame = [r for r in rows if r[1] == k and r[2] is not None and t is not None and t - 7 <= r[2] <= t]
+        values = [r[3] for r in frame if r[3] is not None]
+        assert found[i] == ((len(frame), len(values), sum(values)) if t is not None else (None, None, None)), i
+
+
+def test_rolling_sums_of_times_and_all_rows(spark):
+    df = spark.createDataFrame([(1, at(0), 1.5), (2, at(1), 2.0), (3, at(2.01), 4.0), (4, at(2), 8.25)], "id int, t timestamp, x double")
+    found = {r["id"]: (r["n_rows"], float(r["s"])) for r in rolling_sums(df, "t", 3600, {"s": "x"}).collect()}
+    assert found == {1: (1, 1.5), 2: (2, 3.5), 4: (2, 10.25), 3: (2, 12.25)}
+    assert rolling_sums(df.limit(0), "t", 3600, {"s": "x"}).count() == 0
