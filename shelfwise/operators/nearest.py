@@ -52,39 +52,68 @@ def _blocks(vectors: DataFrame, id_type: str) -> DataFrame:
     return ordered.mapInArrow(run, f"block bigint, ids array<{id_type}>, sizes array<bigint>, words array<bigint>, weights array<double>")
 
 
+def _products(asked: pa.Table, block: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """(some asking texts, their products with each entry of the block): added up by arrays, in batches."""
+    words, weights = (block.column(c)[0].values.to_numpy() for c in ("words", "weights"))
+    sizes = np.asarray(block.column("sizes")[0].values)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(words, kind="stable")
+    words, weights, owner = words[order], weights[order], owner[order]
+    for begin in range(0, asked.num_rows, BATCH):
+        part = asked.slice(begin, BATCH).combine_chunks()
+        lists = part.column("words").combine_chunks(), part.column("weights").combine_chunks()
+        mine, own = (c.flatten().to_numpy() for c in lists)
+        row = np.repeat(np.arange(part.num_rows), lists[0].value_lengths().to_numpy(zero_copy_only=False))
+        low, high = np.searchsorted(words, mine, "left"), np.searchsorted(words, mine, "right")
+        met = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(met)[:-1]]), met) + np.arange(met.sum())
+        sums = np.bincount(np.repeat(row, met) * len(sizes) + owner[at], np.repeat(own, met) * weights[at], part.num_rows * len(sizes))
+        yield part, sums.reshape(part.num_rows, len(sizes))
+
+
 def _compare(asked: pa.Table, block: pa.Table, k: int, id_kind: pa.DataType) -> pa.Table:
-    """For each asking text the k best other texts of a block that reach its bound. Products are added up by arrays."""
-    names = ["text_id", "neighbour_id", "cosine"]
+    """(text_id, neighbour_id, cosine): for each asking text the k best other texts of a block that reach its bound."""
     out: list[tuple] = []
     if asked.num_rows and block.num_rows:
         ids = block.column("ids")[0].values
-        words, weights = (block.column(c)[0].values.to_numpy() for c in ("words", "weights"))
-        owner = np.repeat(np.arange(len(ids)), np.asarray(block.column("sizes")[0].values))
-        order = np.argsort(words, kind="stable")
-        words, weights, owner = words[order], weights[order], owner[order]
         rank = np.empty(len(ids), np.int64)  # ties go to the lower id
         rank[np.asarray(pc.array_sort_indices(ids))] = np.arange(len(ids))
-        names_of = ids.to_pylist()
-        place = {name: i for i, name in enumerate(names_of)}
-        for begin in range(0, asked.num_rows, BATCH):
-            part = asked.slice(begin, BATCH).combine_chunks()
-            lists = part.column("words").combine_chunks(), part.column("weights").combine_chunks()
-            mine, own = (c.flatten().to_numpy() for c in lists)
-            row = np.repeat(np.arange(part.num_rows), lists[0].value_lengths().to_numpy(zero_copy_only=False))
-            low, high = np.searchsorted(words, mine, "left"), np.searchsorted(words, mine, "right")
-            met = high - low
-            at = np.repeat(low - np.concatenate([[0], np.cumsum(met)[:-1]]), met) + np.arange(met.sum())
-            cosines = np.bincount(np.repeat(row, met) * len(ids) + owner[at], np.repeat(own, met) * weights[at], part.num_rows * len(ids))
-            cosines = np.round(cosines.reshape(part.num_rows, len(ids)), DECIMALS)
+        names = ids.to_pylist()
+        place = {name: i for i, name in enumerate(names)}
+        for part, cosines in _products(asked, block):
+            cosines = np.round(cosines, DECIMALS)
             for i, (name, bound) in enumerate(zip(part.column("text_id").to_pylist(), part.column("bound").to_pylist())):
                 fit = np.flatnonzero((cosines[i] > 0) & (cosines[i] >= bound))
                 fit = fit[fit != place.get(name, -1)]
                 if len(fit) > k:
                     fit = fit[cosines[i][fit] >= np.partition(cosines[i][fit], len(fit) - k)[len(fit) - k]]
                 for j in fit[np.lexsort((rank[fit], -cosines[i][fit]))][:k].tolist():
-                    out.append((name, names_of[j], float(cosines[i][j])))
+                    out.append((name, names[j], float(cosines[i][j])))
     columns = list(zip(*out)) if out else [(), (), ()]
-    return pa.Table.from_arrays([pa.array(columns[0], id_kind), pa.array(columns[1], id_kind), pa.array(columns[2], pa.float64())], names=names)
+    return pa.Table.from_arrays([pa.array(columns[0], id_kind), pa.array(columns[1], id_kind), pa.array(columns[2], pa.float64())], names=["text_id", "neighbour_id", "cosine"])
+
+
+def _able(asked: pa.Table, block: pa.Table, id_kind: pa.DataType) -> pa.Table:
+    """(text_id, place, bound): for each asking text the nodes below one whose largest weights still reach its bound."""
+    texts, nodes, bounds = [pa.array([], id_kind)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    if asked.num_rows and block.num_rows:
+        children = np.asarray(block.column("ids")[0].values)
+        for part, most in _products(asked, block):
+            bound = part.column("bound").to_numpy()
+            row, child = np.nonzero((most > 0) & (most >= bound[:, None] - SLACK))
+            texts.append(part.column("text_id").combine_chunks().take(pa.array(row)))
+            nodes.append(children[child])
+            bounds.append(bound[row])
+    return pa.Table.from_arrays([pa.concat_arrays(texts), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(bounds))], names=["text_id", "place", "bound"])
+
+
+def _node(level: pa.Table) -> pa.Table:
+    """The children of one node as a block: for each its words with their largest weights."""
+    level = level.sort_by([("child", "ascending")])
+    children, sizes = np.unique(level.column("child").to_numpy(), return_counts=True)
+    values = [pa.array(children), pa.array(sizes), level.column("word").combine_chunks(), level.column("top").combine_chunks()]
+    listed = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in values]
+    return pa.Table.from_arrays([level.column("node").slice(0, 1), *listed], names=["place", "ids", "sizes", "words", "weights"])
 
 
 def nearest(vectors: DataFrame, k: int, floor: float = 0.0, probes: DataFrame | None = None, enough: float | None = None) -> DataFrame:
@@ -107,15 +136,17 @@ def nearest(vectors: DataFrame, k: int, floor: float = 0.0, probes: DataFrame |
     asked = vectors if probes is None else vectors.join(probes.select("text_id").distinct(), "text_id", "left_semi")
     asked = materialize(asked, "asked")
     salts = max(1, -(-asked.count() // ASKED))
-    schema = f"text_id {id_type}, neighbour_id {id_type}, cosine double"
 
-    def look(frontier: DataFrame) -> DataFrame:
+    def meet(frontier: DataFrame, blocks: DataFrame, work, schema: str) -> DataFrame:
         """What the texts of (place, text_id, bound) find in those blocks. Many that ask for one block are several groups."""
         frontier = materialize(frontier.select("place", "text_id", "bound", F.pmod(F.xxhash64("text_id"), F.lit(salts)).alias("salt")), "frontier")
         meetings = frontier.select(F.col("place").alias("at"), F.col("salt").alias("part")).distinct()
         copies = meetings.join(blocks, F.col("at") == F.col("place")).select("at", "part", "ids", "sizes", "words", "weights")
         rows = frontier.join(asked, "text_id").groupBy("place", "salt").cogroup(copies.groupBy("at", "part"))
-        return rows.applyInArrow(lambda a, b: _compare(a, b.slice(0, 1), k, id_kind), schema)
+        return rows.applyInArrow(work, schema)
+
+    def look(frontier: DataFrame) -> DataFrame:
+        return meet(frontier, blocks, lambda a, b: _compare(a, b.slice(0, 1), k, id_kind), f"text_id {id_type}, neighbour_id {id_type}, cosine double")
 
     bound = F.lit(float(floor))
     first = materialize(look(home.join(asked.select("text_id"), "text_id").withColumn("bound", bound)), "near-home")
@@ -127,20 +158,15 @@ def nearest(vectors: DataFrame, k: int, floor: float = 0.0, probes: DataFrame |
         if enough is not None:
             open_ = open_.filter((F.coalesce("n", F.lit(0)) < k) | (F.col("least") <= enough))
         open_ = materialize(open_.select("text_id", "bound"), "open")
-        words = materialize(open_.join(asked, "text_id").select("text_id", "bound", F.explode(F.arrays_zip("words", "weights")).alias("w")).select("text_id", "bound", "w.words", "w.weights"), "open-words")
-
-        leaf = materialize(blocks.select("place", F.explode(F.arrays_zip("words", "weights")).alias("w")).groupBy(F.col("place").alias("node"), F.col("w.words").alias("word")).agg(F.max("w.weights").alias("top")), "bounds")
-        levels = [leaf]
-        while FAN ** (len(levels) - 1) < n_blocks:
+        leaf = blocks.select("place", F.explode(F.arrays_zip("words", "weights")).alias("w")).groupBy(F.col("place").alias("node"), F.col("w.words").alias("word"))
+        levels = [materialize(leaf.agg(F.max("w.weights").alias("top")), "bounds")]
+        while FAN ** len(levels) < n_blocks:
             higher = levels[-1].groupBy(F.floor(F.col("node") / FAN).alias("node"), "word").agg(F.max("top").alias("top"))
             levels.append(materialize(higher, "bounds"))
-        frontier = open_.select("text_id", F.lit(0).cast("bigint").alias("node"))
-        for level in reversed(levels[:-1]):
-            children = level.select(F.floor(F.col("node") / FAN).alias("node"), F.col("node").alias("child"), F.col("word").alias("words"), "top")
-            able = frontier.join(words, "text_id").join(children, ["node", "words"]).groupBy("text_id", F.col("child").alias("node"))
-            able = able.agg(F.sum(F.col("weights") * F.col("top")).alias("most"), F.first("bound").alias("bound"))
-            frontier = materialize(able.filter(F.col("most") >= F.col("bound") - SLACK).select("text_id", "node", "bound"), "able")
-            frontier, bounded = frontier.select("text_id", "node"), frontier
-        others = bounded.withColumnRenamed("node", "place").join(home, ["place", "text_id"], "left_anti")
-        first = first.unionByName(look(others))
+        frontier = open_.withColumn("place", F.lit(0).cast("bigint"))
+        for level in reversed(levels):
+            children = level.select(F.floor(F.col("node") / FAN).alias("node"), F.col("node").alias("child"), "word", "top")
+            nodes = materialize(children.groupBy("node").applyInArrow(_node, "place bigint, ids array<bigint>, sizes array<bigint>, words array<bigint>, weights array<double>"), "nodes")
+            frontier = materialize(meet(frontier, nodes, lambda a, b: _able(a, b.slice(0, 1), id_kind), f"text_id {id_type}, place bigint, bound double"), "able")
+        first = first.unionByName(look(frontier.join(home, ["place", "text_id"], "left_anti")))
     return materialize(first.withColumn("rank", F.row_number().over(by_rank)).filter(F.col("rank") <= k), "nearest")
