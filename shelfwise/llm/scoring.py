@@ -200,7 +200,7 @@ def answer_cells(cells: DataFrame, bits: int, groups: int, fan_bits: int, tasks:
 
     The cells of one group and slot are added up together. Where there are several groups, their sums are senders in
     turn: in groups of groups, and in slots of as many finer ranges, so that a cell keeps its size and a task its load
-    however large the corpus is. `tasks` is the number of blocks, so that a task gets about a block's grams. What comes back is handed on to the senders by the places of their keys. A gram that
+    however large the corpus is. `tasks` is about the number of blocks, so that a task gets a few blocks' grams. What comes back is handed on to the senders by the places of their keys. A gram that
     every block holds is a number in a cell of each; its sums are made by group, then by group of groups.
 
     The rows with sender -1, -2 and -3 have as size a slot's number of distinct words, of all words and of the target's.
@@ -305,8 +305,8 @@ def cross_entropy_difference(
     id_type = docs.schema[id_col].dataType.simpleString()
     with _shuffles_released(spark):
         blocks = materialize(text_blocks(docs, target, id_col, text_col, block_bytes), "lm-texts")
-        tasks = max(1, blocks.count())
-        groups = -(-tasks >> fan_bits)
+        number = max(1, blocks.count())
+        groups, tasks = -(-number >> fan_bits), min(number, 4096 + number // 64)  # a task for each block, of very many for some
         cells = materialize(answer_cells(block_cells(blocks, bits, groups, fan_bits), bits, groups, fan_bits, tasks), "lm-counts")
     sums = cells.filter("sender < 0").agg(*(F.sum(F.when(F.col("sender") == -1 - i, F.col("size"))) for i in range(3))).first()
     n_distinct, n_background, n_target = (int(x or 0) for x in sums)
