@@ -172,3 +172,21 @@ def test_sketched_cubes_shuffle_once_and_stay_within_their_error(spark, sales):
     for r in rows:
         true = exact[r["day"], r["level"]]
         assert r["n"] == true["n"] and abs(r["user_distinct"] - true["user_distinct"]) <= K.DISTINCT_ERROR * true["user_distinct"] + 1
+
+
+def test_many_training_rows_are_gathered_in_weighted_cells(spark, monkeypatch):
+    """All rows count, by weight; the forest predicts as one grown from every row."""
+    from shelfwise.operators import model as M
+
+    rows = spark.range(6000).select(
+        (F.col("id") * 7919 % 1000 / 10).alias("price_numeric"), F.concat(F.lit("c"), (F.col("id") % 3).cast("string")).alias("Country"),
+    ).withColumn("Rating", 3.0 + F.col("price_numeric") * 0.015 + F.length("Country") * 0.1 + F.ascii(F.substring("Country", 2, 1)) * 0.05)
+    plain = M.score(M.train_rating_model(rows, ["price_numeric", "Country"], n_estimators=10, max_bins=32), rows)
+    monkeypatch.setattr(M, "_ROWS", 400)
+    cells = M._cells(rows, ["price_numeric", "Country"], "Rating", 32)
+    sums = cells.agg(F.count(F.lit(1)).alias("n"), F.sum("__weight").alias("w"), F.sum(F.col("__weight") * F.col("Rating")).alias("t")).first()
+    assert sums.n <= 400 and abs(sums.w - 6000) < 1e-6
+    assert abs(sums.t - rows.agg(F.sum("Rating")).first()[0]) < 1e-6
+    few = M.score(M.train_rating_model(rows, ["price_numeric", "Country"], n_estimators=10, max_bins=32), rows)
+    error = lambda df: df.agg(1 - F.avg((F.col("Rating") - F.col("prediction")) ** 2) / F.var_pop("Rating")).first()[0]
+    assert error(plain) > 0.99 and error(few) > 0.99
