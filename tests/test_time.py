@@ -189,6 +189,32 @@ def test_a_micro_batch_that_is_run_again_doubles_nothing(spark, tmp_path):
     assert W.WindowTables(base).rows(spark).count() == len(rows)
 
 
+def test_a_replayed_table_comes_number_by_number_in_many_files(spark, tmp_path):
+    df = spark.range(402_000, numPartitions=4).withColumn("n", F.when(F.col("id") < 1, 7).when(F.col("id") < 2000, 3).otherwise(F.col("id") % 2))
+    stream = W.in_batches(df, F.col("n"), str(tmp_path / "in"))
+    seen = []
+    stream.writeStream.option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).foreachBatch(
+        lambda rows, i: seen.append((i, [tuple(r) for r in rows.withColumn("file", F.input_file_name()).groupBy("n").agg(F.count("id"), F.count_distinct("id"), F.count_distinct("file")).collect()]))
+    ).start().awaitTermination()
+    assert seen == [(0, [(0, 200_000, 200_000, 2)]), (1, [(1, 200_000, 200_000, 2)]), (2, [(3, 1999, 1999, 2)]), (3, [(7, 1, 1, 1)])]
+
+
+def test_windows_keep_a_slice_of_state_a_core(spark, tmp_path):
+    rows, given = arrivals(random.Random(6), batches=2), spark.conf.get("spark.sql.shuffle.partitions")
+    kinds = {"day": W.tumbling("t", "6 hours", (), n=F.count(F.lit(1)))}
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        for n in range(2):
+            write_batch(spark, rows, n, str(tmp_path / "in"))
+        stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        W.start_windows(stream, str(tmp_path / "job"), "t", "6 hours", kinds).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", given)
+    slices = [p.name for p in (tmp_path / "job" / "progress-day" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(slices) == spark.sparkContext.defaultParallelism
+
+
 def records(spark, rows, tmp_path, name, runs, **options):
     use_rocks(spark)
     inbox, output = str(tmp_path / f"{name}-in"), str(tmp_path / f"{name}-out")
