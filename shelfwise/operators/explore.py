@@ -250,43 +250,61 @@ def _in_parts(df: DataFrame, group: Sequence[str], first: dict[str, Column], the
     return parts.groupBy(*group).agg(*[then[name](name).alias(name) for name in first])
 
 
-def boxplot_stats(df: DataFrame, target: str, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """Quartiles, whiskers and outlier count of the target per category.
+_QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+_ACCURACY = 10_000
+
+
+def _exact_quartiles(values: DataFrame, group: Sequence[str]) -> DataFrame:
+    """n and quartiles, linear between ranks, without sorting more than a small part of the values.
 
-    Exact quartiles (linear between ranks) are read off running counts of the
-    distinct values; those are cut by range, so no category has to fit into one
-    task. ``exact=False`` takes Spark's quantile sketch instead.
+    Bounds a little below and above each quartile, from Spark's quantile sketch, cut a group's values into seven cells. All
+    values are counted by cell, and only the cells that hold a wanted rank are looked into: their distinct values are counted
+    and ranked by running totals, cut by range. How well the sketch does decides the size of these cells, never the result.
     """
-    counts = (
-        _category_values(df, target, columns).groupBy("feature", "category", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    near = [q + side * 3 / _ACCURACY for _, q in _QUARTILES for side in (-1, 1)]
+    bounds = materialize(values.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("total"), F.percentile_approx("value", F.array(*[F.lit(q) for q in near]), F.lit(_ACCURACY)).alias("bounds"),
+    ), "bounds")
+    cell = sum((F.when(F.col("value") >= F.col("bounds")[i], 1).otherwise(0) for i in range(len(near))), F.lit(0))
+    cells = _in_parts(values.join(bounds, group).withColumn("cell", cell), [*group, "cell"], {"n": F.count(F.lit(1))}, {"n": F.sum})
+    upto = F.sum("n").over(Window.partitionBy(*group).orderBy("cell"))  # seven rows a group at most
+    cells = cells.withColumn("before", upto - F.col("n")).join(bounds, group)
+    places = {name: (F.col("total") - 1) * F.lit(q) for name, q in _QUARTILES}
+    ranks = {f"{name}_{side}": to(place) for name, place in places.items() for side, to in (("low", F.floor), ("high", F.ceil))}
+    here = {name: (F.col("before") <= rank) & (rank < F.col("before") + F.col("n")) for name, rank in ranks.items()}
+    wanted = F.lit(False)
+    for holds in here.values():
+        wanted = wanted | holds
+    opened = materialize(
+        cells.filter(wanted).groupBy(*group, "total", "bounds")
+        .agg(F.map_from_entries(F.collect_list(F.struct("cell", "before"))).alias("earlier")), "opened",
+    )
+    inside = (
+        values.join(opened, group).withColumn("cell", cell).withColumn("earlier", F.col("earlier")[F.col("cell")])
+        .filter(F.col("earlier").isNotNull()).groupBy(*group, "cell", "total", "earlier", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    group = ["feature", "category"]
+    ranked = running_total(inside, ["value"], "n", "upto", partition_by=[*group, "cell"])
+    placed = ranked.withColumn("before", F.col("earlier") + F.col("upto") - F.col("n"))
+    picks = {"n": F.max("total")} | {name: F.max(F.when(holds, F.col("value"))) for name, holds in here.items()}
+    found = _in_parts(placed, group, picks, dict.fromkeys(picks, F.max))
+    return found.select(*group, "n", *[
+        (F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low"))
+         * ((F.col("n") - 1) * F.lit(q) - F.floor((F.col("n") - 1) * F.lit(q)))).alias(name)
+        for name, q in _QUARTILES
+    ])
+
+
+def _box_figures(df: DataFrame, target: str, columns: Sequence[str], exact: bool) -> DataFrame:
+    """The box plots of a frame that is cheap to read several times."""
+    values, group = _category_values(df, target, columns), ["feature", "category"]
     if exact:
-        ranked = materialize(running_total(counts, ["value"], "n", "upto", partition_by=group), "ranked")
-        totals = materialize(ranked.groupBy(*group).agg(F.max("upto").alias("total")), "totals")
-        placed = ranked.join(totals, group).withColumn("before", F.col("upto") - F.col("n"))
-        picks = {"n": F.max("total")}
-        for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
-            place = (F.col("total") - 1) * F.lit(q)
-            for side, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
-                here = (F.col("before") <= rank) & (rank < F.col("upto"))
-                picks[f"{name}_{side}"] = F.max(F.when(here, F.col("value")))
-        found = _in_parts(placed, group, picks, dict.fromkeys(picks, F.max))
-        quartiles = found.select(*group, "n", *[
-            (F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low"))
-             * ((F.col("n") - 1) * F.lit(q) - F.floor((F.col("n") - 1) * F.lit(q)))).alias(name)
-            for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
-        ])
-        values = ranked.select(*group, "value", F.col("n").alias("copies"))
+        quartiles = _exact_quartiles(values, group)
     else:
-        sketch = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10_000))
+        sketch = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(_ACCURACY))
         quartiles = (
-            _category_values(df, target, columns).groupBy(*group)
-            .agg(F.count(F.lit(1)).alias("n"), sketch.alias("q"))
+            values.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), sketch.alias("q"))
             .select(*group, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
         )
-        values = counts.select(*group, "value", F.col("n").alias("copies"))
     quartiles = materialize(quartiles, "quartiles")
     reach = (F.col("q3") - F.col("q1")) * F.lit(WHISKER)
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
@@ -294,13 +312,22 @@ def boxplot_stats(df: DataFrame, target: str, columns: Sequence[str], exact: boo
         values.join(quartiles, group), group,
         {
             "whisker_low": F.min(F.when(inside, F.col("value"))), "whisker_high": F.max(F.when(inside, F.col("value"))),
-            "n_outliers": F.sum(F.when(inside, F.lit(0)).otherwise(F.col("copies"))),
+            "n_outliers": F.sum(F.when(inside, F.lit(0)).otherwise(F.lit(1))),
         },
         {"whisker_low": F.min, "whisker_high": F.max, "n_outliers": F.sum},
     )
     return quartiles.join(whiskers, group)
 
 
+def boxplot_stats(df: DataFrame, target: str, columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """Quartiles, whiskers and outlier count of the target per category.
+
+    The target and the columns are worked out and written once, as they are read four times. ``exact=False`` takes the
+    quartiles from Spark's quantile sketch.
+    """
+    return _box_figures(materialize(df.select(*dict.fromkeys([target, *columns])), "boxed"), target, columns, exact)
+
+
 def boxplot_outliers(
     df: DataFrame, target: str, columns: Sequence[str], key: str = "id", exact: bool = True, stats: DataFrame | None = None,
 ) -> DataFrame:
@@ -309,7 +336,9 @@ def boxplot_outliers(
     The whiskers are written out first: with their size known, Spark broadcasts
     them where they are small, and the points are then not shuffled at all.
     """
-    stats = boxplot_stats(df, target, columns, exact) if stats is None else stats
+    if stats is None:
+        df = materialize(df.select(*dict.fromkeys([key, target, *columns])), "boxed")
+        stats = _box_figures(df, target, columns, exact)
     stats = materialize(stats.select("feature", "category", "whisker_low", "whisker_high"), "whiskers")
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in columns])
     points = df.select(F.col(key), F.col(target).alias("value"), F.inline(entries))

@@ -73,6 +73,36 @@ def test_boxplot_of_one_dominant_category(spark):
         assert [found.q1, found.median, found.q3] == pytest.approx(r.q)
 
 
+def quartiles_of(df):
+    return {r.Type: list(r.q) for r in df.groupBy("Type").agg(F.percentile("y", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).collect()}
+
+
+def test_boxplot_ranks_a_small_part_of_the_values(spark):
+    from shelfwise import session
+
+    draw = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 10 == 0, (F.col("id") % 70).cast("string")).when(F.col("id") == 1, "alone").otherwise("hot").alias("Type"),
+        (F.pow(draw, F.lit(-2.0)) * F.when(F.col("id") % 2 == 0, 1).otherwise(-1)).alias("y"),
+    )
+    start = len(session._scratch)
+    found = {r.category: [r.q1, r.median, r.q3] for r in boxplot_stats(df, "y", ["Type"]).collect()}
+    want = quartiles_of(df)
+    assert len(want) == 9 and found == {k: pytest.approx(q) for k, q in want.items()}
+    ranked = [p for p in session._scratch[start:] if "/ranged-" in p]
+    assert len(ranked) == 1 and spark.read.parquet(ranked[0]).count() < 10_000  # of 200,000
+
+
+@pytest.mark.parametrize("bounds", [[0.0] * 6, [-1e300, -5.0, 2.0, 2.0, 3.0, 1e300], [float("nan")] * 6])
+def test_boxplot_is_exact_whatever_the_sketch_says(spark, monkeypatch, bounds):
+    df = spark.range(3000).select((F.col("id") % 4).cast("string").alias("Type"), (F.pmod(F.xxhash64("id"), F.lit(40)) - 20.0).alias("y"))
+    want = quartiles_of(df)
+    monkeypatch.setattr(F, "percentile_approx", lambda *_: F.any_value(F.array(*[F.lit(b) for b in bounds])))
+    stats = {r.category: r for r in boxplot_stats(df, "y", ["Type"]).collect()}
+    assert {k: [r.q1, r.median, r.q3] for k, r in stats.items()} == {k: pytest.approx(q) for k, q in want.items()}
+    assert all(r.n == 750 and r.n_outliers == 0 and (r.whisker_low, r.whisker_high) == (-20.0, 19.0) for r in stats.values())
+
+
 def test_job_scratch_is_deleted_and_nothing_else(spark, tmp_path):
     import os
 
